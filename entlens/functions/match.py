@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from entlens.functions.text import WS, WS_CHARS, let, strip, words
+from entlens.functions.text import WS, WS_CHARS, let, outside, plain_spaces, strip, words
 
 # The separators, token and edge characters the match rule is defined over.
 SEP = rf"[{WS}\-]"
@@ -53,8 +53,8 @@ def name_pattern(names: Column) -> Column:
 
 def text_keys(text: Column | str, max_parts: int) -> Column:
     """Distinct separator-free keys of 1..max_parts adjacent letter/digit runs of a text."""
-    marked = F.regexp_replace(F.lower(_col(text)), rf"[^a-z0-9{WS}\-]+", " | ")
-    runs = F.filter(F.split(marked, f"{SEP}+"), lambda t: t != "")
+    plain = plain_spaces(F.lower(_col(text)), also="-")
+    runs = F.filter(F.split(F.regexp_replace(plain, f"{outside('0-9', 'a-z', ' ')}+", " | "), " +"), lambda t: t != "")
 
     def grams(tokens: Column) -> Column:
         out, joined = [tokens], tokens
@@ -237,12 +237,11 @@ def mask_exploratory(text: Column, name: Column, all_names: list[str]) -> Column
 
     start, end = f"(?<!{WORD_CHAR})", f"{WORD_CHAR}*"
     target = F.concat(F.lit(f"(?iu){start}"), _escape(F.lower(name)), F.lit(end))
-    out = F.regexp_replace(text, target, F.lit(" <TARGETDRUG> "))
-    for other in all_names:
-        pattern = F.concat(F.lit(f"(?iu){start}"), _escape(F.lit(other)), F.lit(end))
-        out = F.when(F.lower(F.lit(other)) == F.lower(name), out).otherwise(
-            F.regexp_replace(out, pattern, F.lit(" <OTHERDRUG> ")))
-    return collapse(out)
+    masked = F.regexp_replace(text, target, F.lit(" <TARGETDRUG> "))
+    others = F.filter(F.array(*[F.lit(n) for n in all_names]), lambda n: F.lower(n) != F.lower(name))
+    masked = F.aggregate(others, masked, lambda done, n: F.regexp_replace(
+        done, F.concat(F.lit(f"(?iu){start}"), _escape(n), F.lit(end)), F.lit(" <OTHERDRUG> ")))
+    return collapse(masked)
 
 
 def _escape(name: Column) -> Column:

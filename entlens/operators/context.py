@@ -35,7 +35,7 @@ def prepare_documents(df: DataFrame, lexicon: Lexicon, text_col: str = "text", i
 
 def mentioned_entities(candidates: Column, text: Column) -> Column:
     """Known names that really occur in the text."""
-    return F.filter(candidates, lambda e: text.rlike(name_pattern(F.array(e["name"]))))
+    return F.filter(candidates, lambda e: F.rlike(text, name_pattern(F.array(e["name"]))))
 
 
 def with_targets(df: DataFrame, lexicon: Lexicon, entity_col: str = "entity",
@@ -44,7 +44,7 @@ def with_targets(df: DataFrame, lexicon: Lexicon, entity_col: str = "entity",
     df = df.withColumn("entity_norm", normalise_name(entity_col))
     members = _members(df, lexicon)
     df = members.withColumn("exact_pattern", name_pattern(F.col("members")))
-    df = df.withColumn("is_exact", F.col("clean").rlike(F.col("exact_pattern")))
+    df = df.withColumn("is_exact", F.rlike(F.col("clean"), F.col("exact_pattern")))
     df = df.withColumn("alias_match", F.when(
         ~F.col("is_exact"), best_alias(F.col("clean"), F.col("entity_norm"), cfg.fuzzy_threshold)))
     df = df.withColumn("alias", normalise_name(F.col("alias_match")["alias"]))
@@ -91,7 +91,7 @@ def extract_context(df: DataFrame, cfg: ContextConfig = CONTEXT) -> DataFrame:
     df = df.withColumn("mention_count", F.regexp_count(text, pattern))
     df = df.withColumn("first_mention_pos", F.when(
         F.col("mention_count") > 0, first_offset(text, pattern) / F.length(text)).otherwise(F.lit(-1.0)))
-    df = df.withColumn("anchors", positions_where(F.col("sentences"), lambda s: s.rlike(pattern)))
+    df = df.withColumn("anchors", positions_where(F.col("sentences"), lambda s: F.rlike(s, pattern)))
     df = df.withColumn("n_mention_sentences", F.size("anchors"))
     spelled = F.transform(F.regexp_extract_all(text, other, F.lit(0)), normalise_name)
     df = df.withColumn("n_other_drugs", F.when(other.isNull(), F.lit(0)).otherwise(F.size(
@@ -107,7 +107,7 @@ def extract_context(df: DataFrame, cfg: ContextConfig = CONTEXT) -> DataFrame:
     df = df.withColumn("first_words", F.transform("target_names", lambda n: F.split(n, " ")[0]))
     df = df.withColumn("ctx_natural", crop_words(
         F.col(f"raw_k{cfg.natural_window}"),
-        lambda w: w.rlike(pattern) | F.array_contains(F.col("first_words"), trim_edges(w)), cfg.max_words))
+        lambda w: F.rlike(w, pattern) | F.array_contains(F.col("first_words"), trim_edges(w)), cfg.max_words))
     return df.drop(*[f"raw_k{k}" for k in windows], *[f"masked_k{k}" for k in cfg.window_sizes], "first_words", "anchors")
 
 

@@ -6,7 +6,7 @@ import importlib
 
 from entlens.plans.registry import ORACLES, QUERIES
 
-TOPICS = ("normalise",)
+TOPICS = ("normalise", "context")
 
 
 def _load() -> None:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from entlens.functions.valence import BOOSTERS, NEGATORS, ValenceLexicon
 from entlens.operators.context import mentioned_entities, prepare_documents
 from entlens.operators.lexicon import Lexicon
+from entlens.sources.tables import read_table, spread
 
 # Entity names that occur in `documents`, their synonym groups, and a misspelling.
 ENTITIES = ["thanedble", "onbleea", "thintion", "thtionnt", "thshing", "onanshat", "theaeati", "ananble", "therhean",
@@ -32,7 +33,11 @@ def quoted(values) -> str:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return read_table(spark, folder, name)
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "documents"), "doc_id")
 
 
 def lexicon(spark: SparkSession, limit: int = 5000) -> Lexicon:
@@ -53,7 +58,7 @@ def dirty(spark: SparkSession, folder: str) -> DataFrame:
     tail = F.concat(
         F.lit(" See https://www."), "source", F.lit(".example.org/Notes-on-"), "lang", F.lit("/page.html?ref="), "source",
         F.lit("#top or www.example.com/More_about/"), "source", F.lit(" &amp; http://[bad/Link &lt;p&gt;!?\n\n Not <i>done</i>."))
-    return table(spark, folder, "documents").select("doc_id", F.concat(text, tail).alias("text"))
+    return documents(spark, folder).select("doc_id", F.concat(text, tail).alias("text"))
 
 
 def dirty_sql() -> str:
@@ -165,10 +170,10 @@ ENTITY = "entity AS (SELECT * FROM (VALUES {}) AS t(num, entity, name, target_al
     for i, n in enumerate(NAMES)))
 
 
-def pairs(spark: SparkSession, folder: str, source: str = "documents") -> DataFrame:
+def pairs(spark: SparkSession, folder: str) -> DataFrame:
     """(document, entity) pairs: every mentioned name, a misspelt pair for every document that names the entity of
     the misspelling, and for a document that names none the entity its id selects. Keeps the prepared columns."""
-    docs = prepare_documents(table(spark, folder, source).select("doc_id", "text"), lexicon(spark))
+    docs = prepare_documents(documents(spark, folder).select("doc_id", "text"), lexicon(spark))
     docs = docs.withColumn("named", mentioned_entities(F.col("candidates"), F.col("clean")))
     spelled = F.create_map(*[F.lit(x) for pair in zip(NAMES, ENTITIES) for x in pair])
     named = F.transform("named", lambda e: F.element_at(spelled, e["name"]))
@@ -201,7 +206,7 @@ def labelled(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents with a three-class label: 1 when toxic, 0 when of low quality, 2 otherwise."""
     label = F.when(F.col("toxic") == 1, 1).when(F.col("quality") == 0, 0).otherwise(2)
     return table(spark, folder, "labels").join(
-        table(spark, folder, "documents").select("doc_id", "text", "lang", "source"), "doc_id").select(
+        documents(spark, folder).select("doc_id", "text", "lang", "source"), "doc_id").select(
         "doc_id", "text", "lang", "source", label.cast("int").alias("sentiment"))
 
 

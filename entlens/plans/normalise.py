@@ -94,7 +94,7 @@ def negations(spark, folder):
 
 @query("b09_drop_symbols", f"SELECT doc_id, {X.sub('lower(text)', '[^a-z0-9!?' + chr(92) + 's]', ' ')} AS text FROM documents")
 def symbols(spark, folder):
-    return X.table(spark, folder, "documents").select("doc_id", T.drop_symbols(F.lower("text")).alias("text"))
+    return X.documents(spark, folder).select("doc_id", T.drop_symbols(F.lower("text")).alias("text"))
 
 
 @query("b10_squash_elongation", f"WITH {X.DIRTY} SELECT doc_id, {X.sql_elongation('text')} AS text FROM dirty")
@@ -144,4 +144,4 @@ def negation_scope(spark, folder):
 lambda t: t NOT IN ({X.quoted(X.STOP)})), ' '), '') AS text FROM documents""")
 def stop_words(spark, folder):
     kept = T.remove_stop_words(T.words(F.lower("text")), [w for w in X.STOP if w not in T.NEGATIONS])
-    return X.table(spark, folder, "documents").select("doc_id", F.array_join(kept, " ").alias("text"))
+    return X.documents(spark, folder).select("doc_id", F.array_join(kept, " ").alias("text"))
