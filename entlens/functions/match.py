@@ -208,7 +208,7 @@ def literal_mentions(text: Column, name: Column) -> Column:
 def first_mention_word(text: Column, name: Column) -> Column:
     """Words before the first literal mention (a word cut by the mention counts), -1 without one."""
     low, needle = F.lower(text), F.lower(name)
-    head = F.substring_index(low, needle, 1)
+    head = F.call_function("substring_index", low, needle, F.lit(1))
     return F.when(low.contains(needle), F.size(words(head))).otherwise(F.lit(-1))
 
 
@@ -238,7 +238,9 @@ def mask_exploratory(text: Column, name: Column, all_names: list[str]) -> Column
     start, end = f"(?<!{WORD_CHAR})", f"{WORD_CHAR}*"
     target = F.concat(F.lit(f"(?iu){start}"), _escape(F.lower(name)), F.lit(end))
     masked = F.regexp_replace(text, target, F.lit(" <TARGETDRUG> "))
-    others = F.filter(F.array(*[F.lit(n) for n in all_names]), lambda n: F.lower(n) != F.lower(name))
+    low = F.lower(text)
+    others = F.filter(
+        F.array(*[F.lit(n) for n in all_names]), lambda n: (F.lower(n) != F.lower(name)) & low.contains(F.lower(n)))
     masked = F.aggregate(others, masked, lambda done, n: F.regexp_replace(
         done, F.concat(F.lit(f"(?iu){start}"), _escape(n), F.lit(end)), F.lit(" <OTHERDRUG> ")))
     return collapse(masked)

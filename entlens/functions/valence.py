@@ -65,18 +65,21 @@ def summarise(hits: Column, n_tokens: Column, marks: Column) -> Column:
     pos = F.aggregate(hits, F.lit(0.0), lambda acc, v: acc + F.when(v > 0, v + 1).otherwise(F.lit(0.0)))
     neg = F.aggregate(hits, F.lit(0.0), lambda acc, v: acc + F.when(v < 0, v - 1).otherwise(F.lit(0.0)))
 
-    def finish(s: Column) -> Column:
-        raw = F.when(s["total"] > 0, s["total"] + marks).when(s["total"] < 0, s["total"] - marks).otherwise(F.lit(0.0))
-        p = F.when(s["pos"] > F.abs(s["neg"]), s["pos"] + marks).otherwise(s["pos"])
-        n = F.when(s["pos"] < F.abs(s["neg"]), s["neg"] - marks).otherwise(s["neg"])
-        mass = p + F.abs(n) + (n_tokens - s["hits"])
-        return F.struct(
-            F.coalesce(raw / F.sqrt(raw * raw + NORMALISER), F.lit(0.0)).alias("compound"),
-            F.when(mass > 0, p / mass).otherwise(F.lit(0.0)).alias("pos"),
-            F.when(mass > 0, F.abs(n) / mass).otherwise(F.lit(0.0)).alias("neg"),
-        )
-
-    return let(F.struct(total.alias("total"), pos.alias("pos"), neg.alias("neg"), F.size(hits).alias("hits")), finish)
+    sums = F.struct(total.alias("total"), pos.alias("pos"), neg.alias("neg"), F.size(hits).alias("hits"))
+    return let(sums, lambda s: squash(s, n_tokens, marks))
+
+
+def squash(s: Column, n_tokens: Column, marks: Column) -> Column:
+    """struct(compound, pos, neg) from struct(total, pos, neg, hits)."""
+    raw = F.when(s["total"] > 0, s["total"] + marks).when(s["total"] < 0, s["total"] - marks).otherwise(F.lit(0.0))
+    p = F.when(s["pos"] > F.abs(s["neg"]), s["pos"] + marks).otherwise(s["pos"])
+    n = F.when(s["pos"] < F.abs(s["neg"]), s["neg"] - marks).otherwise(s["neg"])
+    mass = p + F.abs(n) + (n_tokens - s["hits"])
+    return F.struct(
+        F.coalesce(raw / F.sqrt(raw * raw + NORMALISER), F.lit(0.0)).alias("compound"),
+        F.when(mass > 0, p / mass).otherwise(F.lit(0.0)).alias("pos"),
+        F.when(mass > 0, F.abs(n) / mass).otherwise(F.lit(0.0)).alias("neg"),
+    )
 
 
 def valence_scores(text: Column, lexicon: ValenceLexicon) -> Column:

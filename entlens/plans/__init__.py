@@ -6,7 +6,7 @@ import importlib
 
 from entlens.plans.registry import ORACLES, QUERIES
 
-TOPICS = ("normalise", "context")
+TOPICS = ("normalise", "context", "rows", "describe")
 
 
 def _load() -> None:
