@@ -104,14 +104,14 @@ scored AS (SELECT c.unique_hash, c.cand, 200.0::DOUBLE * l.lcs / (length(l.a) +
   FROM cands c JOIN lcs l ON l.a = c.entity_norm AND l.b = c.cand),
 alias AS (SELECT unique_hash, regexp_replace(cand, '[\s\-]+', ' ', 'g') AS alias, score FROM (
   SELECT *, row_number() OVER (PARTITION BY unique_hash ORDER BY score DESC, cand) AS rn FROM scored WHERE score >= 80) WHERE rn = 1),
-target AS (SELECT x.unique_hash, x.doc_id, x.entity, x.entity_norm, x.text, x.clean, a.alias, a.score,
+target AS MATERIALIZED (SELECT x.unique_hash, x.doc_id, x.entity, x.entity_norm, x.text, x.clean, a.alias, a.score,
   CASE WHEN is_exact THEN 'exact' WHEN a.alias IS NOT NULL THEN 'fuzzy' ELSE 'none' END AS match_type,
   CASE WHEN a.alias IS NULL THEN own_alt
        ELSE (SELECT string_agg(replace(n, ' ', '[\s\-\x01]*'), '|' ORDER BY length(n) DESC, n) FROM (
              SELECT DISTINCT unnest(list_concat(string_split(replace(own_alt, '[\s\-\x01]*', ' '), '|'),
                string_split(replace(coalesce(e.target_alt, a.alias), '[\s\-\x01]*', ' '), '|'), [a.alias])) AS n)) END AS target_alt
   FROM exact x LEFT JOIN alias a USING (unique_hash) LEFT JOIN entity e ON e.name = a.alias),
-full_target AS (SELECT t.*, (SELECT string_agg(replace(e.name, ' ', '[\s\-\x01]*'), '|' ORDER BY length(e.name) DESC, e.name)
+full_target AS MATERIALIZED (SELECT t.*, (SELECT string_agg(replace(e.name, ' ', '[\s\-\x01]*'), '|' ORDER BY length(e.name) DESC, e.name)
    FROM entity e WHERE NOT list_contains(string_split(replace(t.target_alt, '[\s\-\x01]*', ' '), '|'), e.name)) AS other_alt
   FROM target t)"""
 
@@ -204,7 +204,7 @@ def _sql_window(k: int, name: str) -> str:
 
 
 RAW = f"""{_sql_window(0, 'w0')}, {_sql_window(1, 'w1')}, {_sql_window(2, 'w2')},
-raw AS (SELECT t.*, coalesce(w0.win, t.clean) AS raw_k0, coalesce(w1.win, t.clean) AS raw_k1, coalesce(w2.win, t.clean) AS raw_k2
+raw AS MATERIALIZED (SELECT t.*, coalesce(w0.win, t.clean) AS raw_k0, coalesce(w1.win, t.clean) AS raw_k1, coalesce(w2.win, t.clean) AS raw_k2
   FROM full_target t LEFT JOIN w0 USING (unique_hash) LEFT JOIN w1 USING (unique_hash) LEFT JOIN w2 USING (unique_hash))"""
 
 
@@ -233,7 +233,7 @@ def _sql_crop(name: str, source: str, text: str, anchor_of_word: str) -> str:
   ELSE coalesce(c.crop, array_to_string(f.w[1:{MAX_WORDS}], ' ')) END AS crop FROM {name}_w f LEFT JOIN {name}_c c USING (unique_hash))"""
 
 
-MASKED = f"""masked AS (SELECT *, {_sql_masked('clean')} AS full_masked, {_sql_masked('raw_k0')} AS masked_k0,
+MASKED = f"""masked AS MATERIALIZED (SELECT *, {_sql_masked('clean')} AS full_masked, {_sql_masked('raw_k0')} AS masked_k0,
   {_sql_masked('raw_k1')} AS masked_k1, {_sql_masked('raw_k2')} AS masked_k2 FROM raw)"""
 HAS_TARGET = f"contains(word, '{TARGET}')"
 
@@ -281,7 +281,7 @@ def first_position(spark, folder):
 
 CONTEXT_SQL = f"""{TARGETS}, {SENTENCE}, {OTHERS}, {RAW}, {MASKED}, {CROPS}, {NATURAL},
 n_anchor AS (SELECT unique_hash, count(*) AS n_mention_sentences FROM anchor GROUP BY unique_hash),
-context AS (SELECT m.unique_hash, m.doc_id, m.entity, m.entity_norm, m.text, m.clean, m.match_type,
+context AS MATERIALIZED (SELECT m.unique_hash, m.doc_id, m.entity, m.entity_norm, m.text, m.clean, m.match_type,
   {X.sql_match_count('m.clean', 'm.target_alt')} AS mention_count, {FIRST_POS.replace('target_alt', 'm.target_alt').replace('clean', 'm.clean')} AS first_mention_pos,
   coalesce(n.n_mention_sentences, 0) AS n_mention_sentences, coalesce(o.n_other_drugs, 0) AS n_other_drugs,
   m.full_masked, c0.crop AS ctx_k0, c1.crop AS ctx_k1, c2.crop AS ctx_k2, nat.crop AS ctx_natural

@@ -191,13 +191,13 @@ NAME_ALT = "replace(e.name, ' ', '[\\s\\-\\x01]*')"
 # Documents hold no entities, tags or links, so their minimal clean form differs in white space only.
 PAIR = f"""{ENTITY},
 doc_clean AS (SELECT doc_id, text, {sql_lines('text')} AS clean FROM documents),
-named AS (SELECT d.doc_id, e.num, e.entity, e.name FROM doc_clean d JOIN entity e
+named AS MATERIALIZED (SELECT d.doc_id, e.num, e.entity, e.name FROM doc_clean d JOIN entity e
           ON {sql_has_match('d.clean', NAME_ALT)}),
 pair_raw AS (SELECT doc_id, entity FROM named
              UNION ALL SELECT doc_id, '{MISSPELT[1]}' FROM named WHERE name = '{MISSPELT[0]}'
              UNION ALL SELECT d.doc_id, e.entity FROM documents d JOIN entity e ON d.doc_id % {len(ENTITIES)} = e.num
                        WHERE d.doc_id NOT IN (SELECT doc_id FROM named)),
-pair AS (SELECT md5(p.doc_id || ':' || p.entity) AS unique_hash, p.doc_id, p.entity,
+pair AS MATERIALIZED (SELECT md5(p.doc_id || ':' || p.entity) AS unique_hash, p.doc_id, p.entity,
                 trim(regexp_replace(lower(p.entity), '[ \\-]+', ' ', 'g')) AS entity_norm, c.text, c.clean
          FROM pair_raw p JOIN doc_clean c USING (doc_id))"""
 
