@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from entlens.session import materialise
+
 BUCKETS = 256
 
 
@@ -21,7 +23,7 @@ def _offsets(df: DataFrame, group_cols: list[str], bucket: str, totals: dict[str
 
 def global_row_number(df: DataFrame, group_cols: list[str], bucket: Column, order: list[Column], name: str = "rn") -> DataFrame:
     """Row number within each group, in the order (bucket, *order)."""
-    df = df.withColumn("_bucket", bucket)
+    df = df.withColumn("_bucket", F.coalesce(bucket, F.lit("")))
     offsets = _offsets(df, group_cols, "_bucket", {"rows": F.count("*")})
     inner = Window.partitionBy(*group_cols, "_bucket").orderBy(*order)
     ranked = df.withColumn("_inner", F.row_number().over(inner)).join(offsets, [*group_cols, "_bucket"])
@@ -40,7 +42,9 @@ def running_total(df: DataFrame, order_col: str, value_cols: list[str], group_co
     steps = [i / buckets for i in range(1, buckets)]
     bounds = df.agg(F.percentile_approx(order_col, steps, 10000))
     df = df.withColumn("_bounds", bounds.scalar())
-    df = df.withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < F.col(order_col)))).drop("_bounds")
+    # Never null, so that the join on it puts no null test on an expression over the whole input below.
+    bucket = F.coalesce(F.size(F.filter("_bounds", lambda b: b < F.col(order_col))), F.lit(0))
+    df = df.withColumn("_bucket", bucket).drop("_bounds")
     offsets = _offsets(df, group_cols, "_bucket", {v: F.sum(v) for v in value_cols})
     inner = Window.partitionBy(*group_cols, "_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumns({f"_inner_{v}": F.sum(v).over(inner) for v in value_cols}).join(offsets, [*group_cols, "_bucket"])
@@ -61,8 +65,10 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float], group_col
     are kept. The built-in exact percentile would keep every distinct value of a group in one task.
     """
     group_cols = group_cols or []
-    counts = df.filter(F.col(value_col).isNotNull()).groupBy(*group_cols, F.col(value_col).alias("_value")).agg(
-        F.count("*").alias("n"))
+    # A null counts zero times and so holds no rank; a filter would evaluate the value expression a second time.
+    counts = df.groupBy(*group_cols, F.col(value_col).alias("_value")).agg(F.count(value_col).alias("n"))
+    # The counts are read for the bucket bounds, the offsets and the ranks: written once, the input is scanned once.
+    counts = materialise(counts, "quantile-counts")
     ranked = running_total(counts, "_value", ["n"], group_cols)
     sizes = counts.groupBy(*group_cols).agg(F.sum("n").alias("_size"))
     ranked = ranked.join(sizes, group_cols) if group_cols else ranked.withColumn("_size", sizes.scalar())

@@ -6,7 +6,7 @@ import importlib
 
 from entlens.plans.registry import ORACLES, QUERIES
 
-TOPICS = ("normalise", "context", "rows", "describe")
+TOPICS = ("tables", "normalise", "context", "rows", "evaluation", "describe")
 
 
 def _load() -> None:
