@@ -221,14 +221,47 @@ class SvdModel:
     basis: np.ndarray
 
     @classmethod
-    def fit(cls, df: DataFrame, name: str, width: int, k: int) -> SvdModel:
-        from pyspark.mllib.linalg import Vectors
-        from pyspark.mllib.linalg.distributed import RowMatrix
+    def fit(cls, df: DataFrame, name: str, width: int, k: int, passes: int = 5, oversample: int = 10, seed: int = 42) -> SvdModel:
+        """Randomised subspace iteration (Halko et al. 2011): every pass multiplies the block by its transpose.
 
-        rows = df.select(f"{name}.indices", f"{name}.values").rdd.map(lambda r: Vectors.sparse(width, r[0], r[1]))
+        A task keeps one width x (k + oversample) sum, bounded by the vocabulary caps; sums are added up by row before
+        they come back, so neither rows nor the number of tasks reach the driver.
+        """
+        rows = materialise(df.select(f"{name}.indices", f"{name}.values"), "svd-rows")
         k = max(1, min(k, width - 1))
-        found = RowMatrix(rows).computeSVD(k, computeU=False)
-        return cls(np.asarray(found.V.toArray(), dtype=np.float64))
+        basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((width, min(k + oversample, width))))[0]
+        for last in [False] * passes + [True]:
+            product = cls._gram_times(rows, basis)
+            if last:  # rotate the basis to singular directions
+                values, vectors = np.linalg.eigh(basis.T @ product)
+                return cls(basis @ vectors[:, np.argsort(values)[::-1][:k]])
+            basis = np.linalg.qr(product)[0]
+        raise AssertionError
+
+    @staticmethod
+    def _gram_times(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
+        shared = rows.sparkSession.sparkContext.broadcast(basis)
+
+        def partial(frames):
+            q = shared.value
+            out, touched = np.zeros_like(q), np.zeros(len(q), dtype=bool)
+            for frame in frames:
+                for indices, values in zip(frame["indices"], frame["values"]):
+                    out[indices] += np.outer(values, values @ q[indices])
+                    touched[indices] = True
+            at = np.flatnonzero(touched)
+            for start in range(0, len(at), 2000):
+                part = at[start : start + 2000]
+                yield pd.DataFrame({"idx": part.astype(np.int32), "v": list(out[part])})
+
+        from pyspark.ml.stat import Summarizer
+
+        sums = rows.mapInPandas(partial, "idx int, v array<double>").select("idx", array_to_vector("v").alias("v"))
+        total = np.zeros_like(basis)
+        for r in sums.groupBy("idx").agg(Summarizer.sum(F.col("v")).alias("v")).toLocalIterator():
+            total[r["idx"]] = r["v"].toArray()
+        shared.unpersist()
+        return total
 
     @property
     def width(self) -> int:

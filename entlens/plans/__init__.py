@@ -6,7 +6,7 @@ import importlib
 
 from entlens.plans.registry import ORACLES, QUERIES
 
-TOPICS = ("tables", "normalise", "context", "rows", "features", "evaluation", "describe")
+TOPICS = ("tables", "normalise", "context", "rows", "features", "modelling", "evaluation", "describe")
 
 
 def _load() -> None:
