@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from entlens.config import LABELS
 from entlens.functions.text import let
+from entlens.sources.tables import pack
 from entlens.operators.vectorize import BLOCKS, CHAR_NGRAMS, WORD_NGRAMS, FeatureModel, Ngrams, class_weights
 
 COLS = {"featuresCol": "features", "labelCol": "label", "weightCol": "weight"}
@@ -99,7 +100,9 @@ def with_weights(df: DataFrame, label_col: str, balanced: bool) -> DataFrame:
 
 
 def fit_estimator(features: DataFrame, config: ModelConfig) -> Model:
-    """`features` has features, label and weight."""
+    """`features` has features, label and weight. An iterative fit runs one small job per step: files that together
+    fill less than a split are read by one task, so that a small table does not pay for idle tasks."""
+    features = pack(features)
     weight_sum = features.agg(F.sum("weight")).first()[0]
     return ESTIMATORS[config.model](config.params, weight_sum).fit(features)
 

@@ -9,6 +9,7 @@ from entlens.operators import folds as P
 from entlens.plans import fixtures as X
 from entlens.plans import rows as PR
 from entlens.session import materialise
+from entlens.sources.tables import spread
 
 _written: dict[tuple[str, str, str], DataFrame] = {}
 DIMS = 64
@@ -21,7 +22,9 @@ def encoder():
 def _stage(spark: SparkSession, folder: str, name: str, build) -> DataFrame:
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _written:
-        _written[key] = materialise(build(), name)
+        table = materialise(build(), name)
+        wide = spread(table, "unique_hash")
+        _written[key] = table if wide is table else materialise(wide, name)
     return _written[key]
 
 

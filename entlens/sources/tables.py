@@ -17,6 +17,17 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
+def pack(df: DataFrame, target_bytes: int = 64 << 20) -> DataFrame:
+    """Fewer, fuller partitions for a stored table that is read again and again; never more than it has, no exchange."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if not files or len(files) > 10_000:
+        return df
+    path = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+    size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return df.coalesce(max(1, -(-size // target_bytes)))
+
+
 def read_table(spark: SparkSession, folder: str, name: str, stage: str | None = None) -> DataFrame:
     """A stored table; a missing one is an error that names the stage expected to have written it."""
     from pyspark.errors import AnalysisException
