@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F
@@ -112,13 +112,18 @@ class TfidfModel:
     spec: Ngrams
     terms: list[str]
     idf: list[float]
+    counter: CountVectorizerModel
 
     @classmethod
     def fit(cls, df: DataFrame, text_col: str, spec: Ngrams, n_docs: int | None = None) -> TfidfModel:
         """The vocabulary is capped by max_features, so bringing it here is bounded."""
         n = n_docs if n_docs is not None else df.count()
-        rows = sorted(vocabulary(df, text_col, spec).collect(), key=lambda r: r["term"])
-        return cls(spec, [r["term"] for r in rows], [math.log((1 + n) / (1 + r["df"])) + 1 for r in rows])
+        idf = {r["term"]: math.log((1 + n) / (1 + r["df"])) + 1 for r in vocabulary(df, text_col, spec).collect()}
+        # A one-row fit hands the whole dictionary to the JVM at once and decides the order of the terms.
+        listed = df.sparkSession.createDataFrame([(sorted(idf) or ["\x00"],)], "_bag array<string>")
+        counter = CountVectorizer(inputCol="_bag", outputCol="_counts", vocabSize=max(len(idf), 1), minDF=1.0, minTF=1.0).fit(listed)
+        terms = list(counter.vocabulary)
+        return cls(spec, terms, [idf.get(t, 0.0) for t in terms], counter)
 
     @property
     def width(self) -> int:
@@ -126,10 +131,8 @@ class TfidfModel:
 
     def transform(self, df: DataFrame, text_col: str, name: str) -> DataFrame:
         """Add struct `name`(indices, values): (1 + ln tf) * idf, unit length."""
-        bag, counts = f"_{name}_bag", f"_{name}_counts"
-        counter = CountVectorizerModel.from_vocabulary(self.terms or ["\x00"], inputCol=bag, outputCol=counts)
-        df = counter.transform(df.withColumn(bag, self.spec.terms(F.col(text_col)))).drop(bag)
-        raw = F.unwrap_udt(counts)
+        df = self.counter.transform(df.withColumn("_bag", self.spec.terms(F.col(text_col)))).drop("_bag")
+        raw = F.unwrap_udt("_counts")
         idf = F.from_json(F.lit(json.dumps(self.idf or [0.0])), "array<double>")
         weights = F.zip_with(raw["indices"], raw["values"], lambda i, v: (F.log(v) + 1) * F.get(idf, i))
 
@@ -138,7 +141,7 @@ class TfidfModel:
                        lambda norm: F.transform(w, lambda x: F.when(norm > 0, x / norm).otherwise(F.lit(0.0))))
 
         # A dense count vector has null indices; the model writes sparse ones.
-        return df.withColumn(name, F.struct(raw["indices"].alias("indices"), let(weights, unit).alias("values"))).drop(counts)
+        return df.withColumn(name, F.struct(raw["indices"].alias("indices"), let(weights, unit).alias("values"))).drop("_counts")
 
     def long(self, df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         """(id, term, weight)."""

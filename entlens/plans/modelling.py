@@ -211,8 +211,8 @@ def oof_table(spark, folder):
 
 @query("h12_ablations")
 def ablations(spark, folder):
-    base = config("ComplementNB")
-    return CV.run_ablations(S.model_frame(spark, folder), replace(base, representation="counts"))
+    base = replace(config("LogisticRegression", max_iter=20), word=V.Ngrams("word", 1, 2, 2, 2000), char=V.Ngrams("char", 2, 5, 3, 2000))
+    return CV.run_ablations(S.model_frame(spark, folder), base)
 
 
 @query("a12_model_card", f"""WITH {X.LAB}, c AS (SELECT sentiment, count(*) AS n FROM lab GROUP BY 1)
