@@ -117,10 +117,18 @@ CONTEXT_COLUMNS = (
 )
 
 
+def as_rows(df: DataFrame) -> DataFrame:
+    """Every row as it is, with its columns computed: later projections cannot copy the expressions into each use.
+
+    A one-element explode is row-wise, so it costs no exchange and runs on a stream as well.
+    """
+    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("row")).select("row.*")
+
+
 def context_job(df: DataFrame, lexicon: Lexicon, cfg: ContextConfig = CONTEXT, text_col: str = "text",
                 entity_col: str = "entity", id_col: str = "unique_hash", already_clean: bool = False) -> DataFrame:
     """Pairs in, pairs with their context out."""
-    prepared = prepare_documents(df, lexicon, text_col, id_col, already_clean)
+    prepared = as_rows(prepare_documents(df, lexicon, text_col, id_col, already_clean))
     return extract_context(with_targets(prepared, lexicon, entity_col, cfg), cfg)
 
 
