@@ -54,27 +54,26 @@ def _repeat_words(words: Column) -> Column:
     Sorted, equal hashes are neighbours; the places found are sorted again and their windows laid over each other.
     """
 
-    def windows(w: Column) -> Column:
-        return F.transform(F.slice(w, 1, F.greatest(F.size(w) - 2, F.lit(0))), lambda x, i: F.xxhash64(x, w[i + 1], w[i + 2]))
-
-    def packed(h: Column) -> Column:
-        return let(F.length(F.bin(F.size(h))), lambda bits: let(
-            F.sort_array(F.transform(h, lambda x, i: F.call_function("shiftleft", x, bits).bitwiseOR(i.cast("long")))),
-            lambda s: repeated(s, bits)))
+    def packed(w: Column, bits: Column) -> Column:
+        """Each window's hash and place in one number."""
+        return F.transform(F.slice(w, 1, F.size(w) - 2), lambda x, i: F.call_function(
+            "shiftleft", F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)), bits).bitwiseOR(i.cast("long")))
 
     def repeated(s: Column, bits: Column) -> Column:
-        def above(x: Column) -> Column:
-            return F.call_function("shiftright", x, bits)
-
-        same = F.filter(s, lambda x, i: ((i > 0) & (above(x) == above(F.get(s, i - 1)))) | F.coalesce(above(x) == above(F.get(s, i + 1)), F.lit(False)))
+        twins = F.filter(F.sequence(F.lit(0), F.size(s) - 2), lambda i: F.call_function(
+            "shiftrightunsigned", F.get(s, i).bitwiseXOR(F.get(s, i + 1)), bits) == 0)
         low = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
-        return let(F.sort_array(F.transform(same, lambda x: x.bitwiseAND(low))), covered)
+        places = F.flatten(F.transform(twins, lambda i: F.array(F.get(s, i).bitwiseAND(low), F.get(s, i + 1).bitwiseAND(low))))
+        return let(F.sort_array(F.array_distinct(places)), covered)
 
     def covered(at: Column) -> Column:
         steps = F.transform(at, lambda x, i: F.least(F.coalesce(F.get(at, i + 1) - x, F.lit(3)), F.lit(3)))
         return F.aggregate(steps, F.lit(0).cast("long"), lambda total, x: total + x)
 
-    return F.when(F.size(words) < 4, F.lit(0).cast("long")).otherwise(let(windows(words), packed))
+    def counted(w: Column) -> Column:
+        return let(F.length(F.bin(F.size(w))), lambda bits: let(F.sort_array(packed(w, bits)), lambda s: repeated(s, bits)))
+
+    return F.when(F.size(words) < 4, F.lit(0).cast("long")).otherwise(counted(words))
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
