@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entlens.llm import quality, sharding
-from entlens.llm.common import documents
+from entlens.llm import bpe, linededup, quality, sharding, tokencount
+from entlens.llm.common import LOWER, UPPER, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +51,31 @@ SELECT *, failed = 0 AS kept FROM f"""
 def op2(spark, folder):
     rows = quality.apply_policy(documents(spark, folder).select("doc_id", "text"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "failed")
+
+
+OP3_SQL = f"""WITH l AS (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+k AS (SELECT doc_id, i, ls[i] AS line, translate(trim(ls[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS key FROM l),
+g AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (first <> doc_id) AS n_dropped,
+sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (first IS NULL OR first = doc_id), '')) AS kept_sha256
+FROM k LEFT JOIN g USING (key) GROUP BY doc_id"""
+
+
+@query("op3_line_dedup", OP3_SQL)
+def op3(spark, folder):
+    rows = linededup.dedup_lines(documents(spark, folder).select("doc_id", "text"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op9_byte_bpe")
+def op9(spark, folder):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    rows = bpe.encode_decode(documents(spark, folder), path, public_tokenizers.PATTERN, keep=["doc_id"])
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op10_token_counts")
+def op10(spark, folder):
+    return tokencount.count_tokens(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
