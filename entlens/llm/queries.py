@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entlens.llm import bpe, linededup, quality, sharding, tokencount
+from entlens.llm import bpe, licenses, linededup, quality, sharding, tokencount, toxicity
 from entlens.llm.common import LOWER, UPPER, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +67,25 @@ def op3(spark, folder):
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query("op4_toxicity")
+def op4(spark, folder):
+    docs = documents(spark, folder)
+    terms = toxicity.learn_terms(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    rows = toxicity.score_toxicity(docs, terms, keep=["doc_id"])
+    return rows.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                       (F.col("score") >= 0.3).cast("int").alias("predicted"), F.size("clauses").alias("n_clauses"))
+
+
+@query("op8_license_scan")
+def op8(spark, folder):
+    rows = licenses.scan_licenses(documents(spark, folder).select("doc_id", "text"))
+    base = F.array_sort(F.array_distinct("base.label"))
+    every = F.array_sort(F.array_distinct(F.concat("base.label", "notices.label")))
+    return rows.select("doc_id", "n_words", F.size("base").cast("long").alias("n_base"), F.array_min("base.start").alias("first_word"),
+                       F.array_max("base.start").alias("last_word"), F.array_join(base, ",").alias("base_labels"), F.array_join(every, ",").alias("labels"),
+                       F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce(F.array_max("notices.score"), F.lit(0.0))).alias("score"))
+
+
 @query("op9_byte_bpe")
 def op9(spark, folder):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
