@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entlens.llm import bpe, licenses, linededup, quality, sharding, tokencount, toxicity
+from entlens.llm import bpe, licenses, linededup, quality, sharding, simhash, tokencount, toxicity
 from entlens.llm.common import LOWER, UPPER, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,12 @@ def op4(spark, folder):
                        (F.col("score") >= 0.3).cast("int").alias("predicted"), F.size("clauses").alias("n_clauses"))
 
 
+@query("op6_simhash_near_dedup")
+def op6(spark, folder):
+    rows = simhash.near_duplicates(documents(spark, folder), simhash.LINKS)
+    return rows.select("doc_id", simhash.fingerprint_hex(F.col("code")).alias("fingerprint"), "component_id")
+
+
 @query("op8_license_scan")
 def op8(spark, folder):
     rows = licenses.scan_licenses(documents(spark, folder).select("doc_id", "text"))
