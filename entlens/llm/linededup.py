@@ -41,7 +41,9 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_ch
         # Distinct documents first, so that a repeated line within one is a single row before any count.
         many = lines.groupBy("_h1", "_h2", "_doc").agg(F.lit(1).alias("_one")).groupBy("_h1", "_h2").agg(F.min("_doc").alias("_first"), F.count("*").alias("_n"))
         many = many.where(F.col("_n") >= min_docs)
-    gone = lines.join(many.select("_h1", "_h2", "_first"), ["_h1", "_h2"]).where(~F.col("_doc").eqNullSafe(F.col("_first")))
+    # Written, so that the join has an exchange right below it on either side: only then can a hot line's part be split.
+    many = materialise(many.select("_h1", "_h2", "_first"), "repeated-lines")
+    gone = lines.join(many, ["_h1", "_h2"]).where(~F.col("_doc").eqNullSafe(F.col("_first")))
     gone = gone.groupBy("_doc", "_text").agg(F.sort_array(F.collect_set("_at")).alias("_gone"))
 
     keyed = docs.withColumn("_own", F.xxhash64(whole))
