@@ -14,7 +14,7 @@ from functools import partial
 from pyspark.sql import DataFrame, functions as F, types as T
 
 # Bounds of a task's memory: text taken at once, words handed to DuckDB at once, words remembered between texts.
-CHUNK_CHARS, WORDS_AT_ONCE, WORDS_KEPT = 2_000_000, 20_000, 400_000
+CHUNK_CHARS, WORDS_AT_ONCE, WORDS_KEPT = 2_000_000, 20_000, 1_000_000
 # From this length on a word's earlier states are replaced instead of kept until the fixpoint.
 LONG_WORD = 256
 
