@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entlens.llm import bpe, licenses, linededup, quality, sharding, simhash, tokencount, toxicity
+from entlens.llm import ann, bpe, licenses, linededup, mixing, quality, sharding, simhash, tokencount, toxicity
 from entlens.llm.common import LOWER, UPPER, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,12 +76,51 @@ def op4(spark, folder):
                        (F.col("score") >= 0.3).cast("int").alias("predicted"), F.size("clauses").alias("n_clauses"))
 
 
+def _op5_sql(mix: mixing.Mix) -> str:
+    legal, contact, markup = (pattern.replace("'", "''") for _, pattern in mixing.TOPICS)
+    ctes = [f"""r AS MATERIALIZED (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, CASE WHEN regexp_matches(coalesce(text, ''), '{legal}') THEN 'legal'
+WHEN regexp_matches(coalesce(text, ''), '{contact}') THEN 'contact' WHEN regexp_matches(coalesce(text, ''), '{markup}') THEN 'markup' ELSE 'prose' END AS topic,
+CAST(len({SQL_WORDS}) AS BIGINT) AS tokens FROM documents)""",
+            "c0 AS MATERIALIZED (SELECT source, lang, topic, CAST(sum(tokens) AS BIGINT) AS tokens, CAST(sum(tokens) AS DOUBLE) AS weight FROM r GROUP BY ALL)"]
+    for m in mixing.MARGINS:
+        ctes += [f"s_{m} AS (SELECT {m}, CAST(sum(tokens) AS DOUBLE) AS own, CASE WHEN sum(tokens) > 0 THEN pow(CAST(sum(tokens) AS DOUBLE), {mix.power[m]}) ELSE 0 END AS wish FROM c0 GROUP BY {m})",
+                 f"t_{m} AS MATERIALIZED (SELECT {m}, wish / (SELECT sum(wish) FROM s_{m}) * (SELECT sum(own) FROM s_{m}) AS want FROM s_{m})"]
+    last = "c0"
+    for i in range(mix.rounds):
+        for m in mixing.MARGINS:
+            name = f"c{i + 1}_{m}"
+            ctes.append(f"""{name} AS MATERIALIZED (SELECT source, lang, topic, tokens, weight * CASE WHEN has > 0 THEN want / has ELSE 0 END AS weight FROM {last}
+JOIN (SELECT {m}, sum(weight) AS has FROM {last} GROUP BY {m}) USING ({m}) JOIN t_{m} USING ({m}))""")
+            last = name
+    ctes += [f"p AS MATERIALIZED (SELECT *, CASE WHEN tokens > 0 THEN weight / tokens ELSE 0 END AS ratio FROM {last})",
+             f"k0 AS MATERIALIZED (SELECT {mix.keep} * sum(tokens) / sum(weight) AS rate FROM p)"]
+    for i in range(mix.steps):
+        ctes.append(f"""k{i + 1} AS MATERIALIZED (SELECT greatest(any_value(rate), ({mix.keep} * sum(tokens) - coalesce(sum(tokens) FILTER (rate * ratio > 1), 0))
+/ (sum(weight) - coalesce(sum(weight) FILTER (rate * ratio > 1), 0))) AS rate FROM p, k{i})""")
+    return f"""WITH {", ".join(ctes)}
+SELECT doc_id, source, lang, topic, r.tokens, round(weight, 3) AS weight, round(ratio, 9) AS ratio, round(least(rate * ratio, 1), 9) AS probability,
+CAST('0x' || substr(md5('{mix.seed}:' || doc_id), 1, 13) AS BIGINT) / 4503599627370496.0 < least(rate * ratio, 1) AS drawn
+FROM r JOIN p USING (source, lang, topic), k{mix.steps}"""
+
+
+@query("op5_mix_sources", _op5_sql(mixing.Mix()))
+def op5(spark, folder):
+    rows = mixing.mix_documents(documents(spark, folder))
+    return rows.withColumns({"weight": F.round("weight", 3), "ratio": F.round("ratio", 9), "probability": F.round("probability", 9)})
+
+
 @query("op6_simhash_near_dedup")
 def op6(spark, folder):
     rows = simhash.near_duplicates(documents(spark, folder), simhash.LINKS)
     return rows.select("doc_id", simhash.fingerprint_hex(F.col("code")).alias("fingerprint"), "component_id")
 
 
+@query("op7_nearest_neighbours")
+def op7(spark, folder):
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding")
+    return ann.nearest_neighbours(vectors, F.col("vec_id") % 100 == 0)
+
+
 @query("op8_license_scan")
 def op8(spark, folder):
     rows = licenses.scan_licenses(documents(spark, folder).select("doc_id", "text"))
