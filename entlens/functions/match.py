@@ -202,14 +202,15 @@ def trim_edges(word: Column) -> Column:
 
 def literal_mentions(text: Column, name: Column) -> Column:
     low, needle = F.lower(text), F.lower(name)
-    return ((F.length(low) - F.length(F.replace(low, needle, F.lit("")))) / F.length(needle)).cast("int")
+    count = F.try_divide(F.length(low) - F.length(F.replace(low, needle, F.lit(""))), F.length(needle)).cast("int")
+    return F.when(F.length(needle) == 0, F.lit(0)).otherwise(count)
 
 
 def first_mention_word(text: Column, name: Column) -> Column:
     """Words before the first literal mention (a word cut by the mention counts), -1 without one."""
     low, needle = F.lower(text), F.lower(name)
     head = F.call_function("substring_index", low, needle, F.lit(1))
-    return F.when(low.contains(needle), F.size(words(head))).otherwise(F.lit(-1))
+    return F.when((F.length(needle) > 0) & low.contains(needle), F.size(words(head))).otherwise(F.lit(-1))
 
 
 def entity_sentences(text: Column, name: Column) -> Column:

@@ -10,8 +10,8 @@ from entlens.operators.ranking import exact_quantiles, quantile_name
 
 
 def text_key(text: Column | str) -> Column:
-    """A digest that stands for a text in joins and groups, so that whole texts are not moved."""
-    return F.sha2(text, 256)
+    """A digest that stands for a text in joins and groups, so that whole texts are not moved. Null texts are alike."""
+    return F.coalesce(F.sha2(text, 256), F.lit(""))
 
 
 def entities_per_text(df: DataFrame, text_col: str = "text", entity_col: str = "entity") -> DataFrame:
@@ -201,7 +201,7 @@ def survival_curve(df: DataFrame, col: str, last: int = 1000) -> DataFrame:
     filled = positions.join(counts, "position", "left").fillna(0, ["n"])
     beyond = F.sum("n").over(Window.partitionBy().orderBy("position").rowsBetween(1, Window.unboundedFollowing))
     total = F.sum("n").over(Window.partitionBy())
-    return filled.withColumn("share_after", F.coalesce(beyond, F.lit(0)) / total).filter(
+    return filled.withColumn("share_after", F.try_divide(F.coalesce(beyond, F.lit(0)), total)).filter(
         F.col("position").between(0, last)).select("position", "share_after")
 
 
@@ -218,7 +218,7 @@ def reused_texts(first: DataFrame, second: DataFrame, text_col: str = "text") ->
     joined = per_key.join(known, "k", "left")
     reused = F.coalesce(F.sum(F.when(F.col("known") == 1, F.col("rows"))), F.lit(0))
     return joined.agg(reused.alias("reused_rows"), F.sum("rows").alias("rows")).withColumn(
-        "reused_share", F.col("reused_rows") / F.col("rows"))
+        "reused_share", F.try_divide("reused_rows", "rows"))
 
 
 def term_presence(df: DataFrame, id_free_text: Column, keep_pattern: str = "^[a-z][a-z]+$", exclude: list[str] | None = None) -> Column:
@@ -260,7 +260,7 @@ def histogram(df: DataFrame, col: str, bins: int = 100, view: float = 0.99) -> D
     edges = df.agg(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi"))
     df = df.withColumn("e", edges.select(F.struct("lo", "hi")).scalar()).withColumn("q", q.scalar())
     width = (F.col("e")["hi"] - F.col("e")["lo"]) / bins
-    place = lambda v: F.least(F.floor((v - F.col("e")["lo"]) / width), F.lit(bins - 1))
+    place = lambda v: F.least(F.coalesce(F.floor(F.try_divide(v - F.col("e")["lo"], width)), F.lit(0)), F.lit(bins - 1))
     return df.select(place(F.col(col)).cast("int").alias("bin"), place(F.col("q")).cast("int").alias("last")).groupBy("bin").agg(
         F.count("*").alias("rows"), F.max("last").alias("last")).filter(F.col("bin") <= F.col("last")).drop("last")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from entlens.config import LABELS
+from entlens.operators.describe import text_key
 from entlens.operators.folds import seeded_sample
 from entlens.operators.ranking import running_total
 
@@ -43,17 +44,17 @@ def class_metric(name: str, c: int) -> Column:
 
 
 def weighted(name: str) -> Column:
-    return sum((class_metric(name, c) * _support(c) for c in CLASSES), F.lit(0.0)) / F.col("rows")
+    return F.try_divide(sum((class_metric(name, c) * _support(c) for c in CLASSES), F.lit(0.0)), F.col("rows"))
 
 
 def macro(name: str) -> Column:
     """Mean over the classes that occur as a label or as a prediction."""
     seen = [F.when(_support(c) + _called(c) > 0, 1).otherwise(0) for c in CLASSES]
-    return sum((class_metric(name, c) for c in CLASSES), F.lit(0.0)) / sum(seen, F.lit(0))
+    return F.try_divide(sum((class_metric(name, c) for c in CLASSES), F.lit(0.0)), sum(seen, F.lit(0)))
 
 
 def accuracy() -> Column:
-    return sum((_cell(c, c) for c in CLASSES[1:]), _cell(0, 0)) / F.col("rows")
+    return F.try_divide(sum((_cell(c, c) for c in CLASSES[1:]), _cell(0, 0)), F.col("rows"))
 
 
 SCORES = {
@@ -108,7 +109,7 @@ def auc(df: DataFrame, score_col: str, is_positive: Column) -> DataFrame:
     below = F.col("cum_neg") - F.col("neg")
     return ranked.agg(
         F.sum(F.col("pos") * (below + F.col("neg") / 2)).alias("wins"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"),
-    ).select((F.col("wins") / (F.col("positives") * F.col("negatives"))).alias("auc"), "positives", "negatives")
+    ).select(F.try_divide(F.col("wins"), F.col("positives") * F.col("negatives")).alias("auc"), "positives", "negatives")
 
 
 def auc_one_vs_rest(df: DataFrame) -> DataFrame:
@@ -121,8 +122,9 @@ def auc_one_vs_rest(df: DataFrame) -> DataFrame:
     below = F.col("cum_neg") - F.col("neg")
     per_class = ranked.groupBy("class").agg(
         F.sum(F.col("pos") * (below + F.col("neg") / 2)).alias("wins"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"),
-    ).select("class", (F.col("wins") / (F.col("positives") * F.col("negatives"))).alias("auc"), "positives")
-    mean = per_class.agg((F.sum(F.col("auc") * F.col("positives")) / F.sum("positives")).alias("auc"), F.sum("positives").alias("positives"))
+    ).select("class", F.try_divide(F.col("wins"), F.col("positives") * F.col("negatives")).alias("auc"), "positives")
+    known = F.when(F.col("auc").isNotNull(), F.col("positives"))  # a class without rows, or without others, has no area and no say
+    mean = per_class.agg(F.try_divide(F.sum(F.col("auc") * F.col("positives")), F.sum(known)).alias("auc"), F.sum("positives").alias("positives"))
     return per_class.unionByName(mean.select(F.lit(-1).alias("class"), "auc", "positives"))
 
 
@@ -156,7 +158,7 @@ def slice_labels(shared: Column) -> dict[str, Column]:
 
 def with_slices(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Add `slices`: one (dimension, slice) per dimension. Whether a text repeats is counted on its digest."""
-    keyed = df.withColumn("_key", F.sha2(text_col, 256))
+    keyed = df.withColumn("_key", text_key(text_col))
     copies = keyed.groupBy("_key").agg((F.count("*") > 1).alias("_shared"))
     labels = slice_labels(F.col("_shared"))
     return keyed.join(copies, "_key").withColumn("slices", F.array(*[

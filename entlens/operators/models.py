@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator, Model, classification
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes, OneVsRest, OneVsRestModel,
     RandomForestClassifier,
@@ -39,7 +39,7 @@ def linear_svc(params: dict, weight_sum: float) -> Estimator:
 
 
 def complement_nb(params: dict, weight_sum: float) -> Estimator:
-    return NaiveBayes(modelType="complement", smoothing=params.get("alpha", 1.0), **COLS)
+    return NaiveBayes(modelType="complement", smoothing=params.get("alpha", 0.3), **COLS)
 
 
 def decision_tree(params: dict, weight_sum: float) -> Estimator:
@@ -63,7 +63,7 @@ ESTIMATORS: dict[str, Callable[[dict, float], Estimator]] = {
     "DecisionTree": decision_tree, "RandomForest": random_forest, "GradientBoosting": boosted_trees,
 }
 BASE_PARAMS = {
-    "LogisticRegression": {"C": 1.0}, "LinearSVC": {"C": 0.05}, "ComplementNB": {"alpha": 1.0}, "DecisionTree": {},
+    "LogisticRegression": {"C": 1.0}, "LinearSVC": {"C": 0.05}, "ComplementNB": {"alpha": 0.3}, "DecisionTree": {},
     "RandomForest": {}, "GradientBoosting": {},
 }
 REPRESENTATION = {
@@ -81,11 +81,13 @@ class ModelConfig:
     blocks: tuple[str, ...] = BLOCKS
     balanced: bool = True
     word: Ngrams = WORD_NGRAMS
-    char: Ngrams = CHAR_NGRAMS
+    char: Ngrams | None = CHAR_NGRAMS
     svd_components: int = 300
+    stop_words: tuple[str, ...] = ()  # removed from the text before its word n-grams
 
     def features(self) -> FeatureModel:
-        return FeatureModel(self.representation, self.text_col, self.blocks, self.word, self.char, self.svd_components)
+        word = replace(self.word, stop_words=self.stop_words) if self.stop_words else self.word
+        return FeatureModel(self.representation, self.text_col, self.blocks, word, self.char, self.svd_components)
 
 
 SHIPPED = ModelConfig()
@@ -146,8 +148,20 @@ class Classifier:
             return self.model.coefficientMatrix.toArray().tolist()
         return None
 
-    def save(self, path: str) -> None:
+    def save(self, spark, path: str) -> None:
+        """The estimator, the fitted features and the settings: all that scoring needs."""
         self.model.write().overwrite().save(f"{path}/model")
+        self.features.save(spark, f"{path}/features")
+        config = asdict(self.config) | {"estimator": type(self.model).__name__}
+        spark.createDataFrame([(json.dumps(config),)], "config string").write.mode("overwrite").parquet(f"{path}/config")
+
+    @classmethod
+    def load(cls, spark, path: str) -> Classifier:
+        kept = json.loads(spark.read.parquet(f"{path}/config").first()["config"])
+        model = getattr(classification, kept.pop("estimator")).load(f"{path}/model")
+        grams = {k: Ngrams(**(kept[k] | {"stop_words": tuple(kept[k]["stop_words"])})) if kept[k] else None for k in ("word", "char")}
+        config = ModelConfig(**(kept | grams | {"blocks": tuple(kept["blocks"]), "stop_words": tuple(kept["stop_words"])}))
+        return cls(config, FeatureModel.load(spark, f"{path}/features"), model)
 
 
 def top_words(classifier: Classifier, spark, n: int = 12) -> DataFrame:

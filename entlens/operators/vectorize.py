@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 import math
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field, is_dataclass
 
 import numpy as np
 import pandas as pd
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from entlens.functions.text import let, plain_spaces
+from entlens.operators.ranking import running_total
 from entlens.session import materialise
 
 # The blocks, their columns and the representations built from them.
@@ -28,6 +29,8 @@ SCALED_FEATURES = ("first_mention_pos", "is_long_doc", "vader_window_compound",
 CATEGORY_FEATURES = ("entity_norm", "match_type")
 BLOCKS = ("text", "counts", "scaled", "categories", "embedding")
 REPRESENTATIONS = ("sparse", "dense", "counts")
+# What a null category is called in a fitted model; no text holds it.
+NULL_CATEGORY = "\x00null"
 
 
 @dataclass(frozen=True)
@@ -95,7 +98,14 @@ def vocabulary(df: DataFrame, text_col: str, spec: Ngrams) -> DataFrame:
     """(term, df, cf) of the kept terms: at least min_df documents, then the most frequent, the smaller term on a tie."""
     entries = df.select(F.explode(run_lengths(spec.terms(F.col(text_col)))).alias("e")).select("e.*")
     counted = entries.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
-    return counted.filter(F.col("df") >= spec.min_df).orderBy(F.desc("cf"), "term").limit(spec.max_features)
+    counted = materialise(counted.filter(F.col("df") >= spec.min_df), "term-counts")
+    # The count at which the cap falls comes from running totals over the distinct counts; only the terms that tie there are put in order.
+    per_count = counted.groupBy("cf").agg(F.count("*").alias("n")).withColumn("falling", -F.col("cf"))
+    cut = running_total(per_count, "falling", ["n"]).filter(F.col("cum_n") >= spec.max_features).agg(F.max("cf")).first()[0]
+    if cut is None:
+        return counted
+    above = counted.filter(F.col("cf") > cut)
+    return above.unionByName(counted.filter(F.col("cf") == cut).orderBy("term").limit(spec.max_features - above.count()))
 
 
 @dataclass(frozen=True)
@@ -178,7 +188,7 @@ class ScaleModel:
 
 @dataclass
 class OneHotModel:
-    """Indicator columns; values below `min_rows` training rows, and unseen ones, share an `infrequent` column."""
+    """Indicator columns; values below `min_rows` training rows, and unseen ones, share an `infrequent` column. Null is a value."""
 
     columns: tuple[str, ...]
     min_rows: int = 10
@@ -188,7 +198,7 @@ class OneHotModel:
 
     def fit(self, df: DataFrame) -> OneHotModel:
         for c in self.columns:
-            counts = df.groupBy(c).agg(F.count("*").alias("n"))
+            counts = df.groupBy(self._value(c).alias(c)).agg(F.count("*").alias("n"))
             frequent = counts.filter(F.col("n") >= self.min_rows).orderBy(c).limit(self.limit + 1).collect()
             if len(frequent) > self.limit:
                 raise ValueError(f"{c} has more than {self.limit} frequent values")
@@ -196,10 +206,14 @@ class OneHotModel:
             self.has_rare[c] = not counts.filter(F.col("n") < self.min_rows).isEmpty()
         return self
 
+    @staticmethod
+    def _value(c: str) -> Column:
+        return F.coalesce(F.col(c), F.lit(NULL_CATEGORY))
+
     def category(self, c: str) -> Column:
         """The column a value is encoded in, null for an unseen value without an infrequent column."""
         rare = F.lit("infrequent") if self.has_rare[c] else F.lit(None).cast("string")
-        return F.when(F.col(c).isin(*self.kept[c]), F.col(c)).otherwise(rare) if self.kept[c] else rare
+        return F.when(self._value(c).isin(*self.kept[c]), self._value(c)).otherwise(rare) if self.kept[c] else rare
 
     @property
     def width(self) -> int:
@@ -211,7 +225,7 @@ class OneHotModel:
             index = {v: offset + i for i, v in enumerate(self.kept[c])}
             lookup = F.from_json(F.lit(json.dumps(index)), "map<string,int>")
             rare = F.lit(offset + len(self.kept[c])) if self.has_rare[c] else F.lit(None).cast("int")
-            places.append(F.coalesce(F.get(F.filter(F.array(F.try_element_at(lookup, F.col(c))), lambda x: x.isNotNull()), F.lit(0)), rare))
+            places.append(F.coalesce(F.get(F.filter(F.array(F.try_element_at(lookup, self._value(c))), lambda x: x.isNotNull()), F.lit(0)), rare))
             offset += len(self.kept[c]) + int(self.has_rare[c])
         indices = F.filter(F.array(*places), lambda i: i.isNotNull())
         return SparseBlock(indices, F.transform(indices, lambda _: F.lit(1.0)), max(offset, 1))
@@ -300,7 +314,7 @@ class FeatureModel:
     text_col: str = "ctx_k0"
     blocks: tuple[str, ...] = BLOCKS
     word: Ngrams = WORD_NGRAMS
-    char: Ngrams = CHAR_NGRAMS
+    char: Ngrams | None = CHAR_NGRAMS
     svd_components: int = 300
     embedding_col: str = "embedding"
 
@@ -317,7 +331,8 @@ class FeatureModel:
         if "text" in self.blocks:
             n = df.count()
             self.models["word"] = TfidfModel.fit(df, self.text_col, self.word, n)
-            self.models["char"] = TfidfModel.fit(df, self.text_col, self.char, n)
+            if self.char is not None:
+                self.models["char"] = TfidfModel.fit(df, self.text_col, self.char, n)
         if "counts" in self.blocks:
             self.models["counts"] = ScaleModel(COUNT_FEATURES, log=True).fit(df)
         if "scaled" in self.blocks:
@@ -333,14 +348,48 @@ class FeatureModel:
             self._fit_dense_scale(self._dense_array(df))
         return self
 
+    def save(self, spark, path: str) -> None:
+        """Everything that transforming needs: settings and small models as JSON, vocabularies and the SVD basis as tables."""
+        state = {k: getattr(self, k) for k in ("representation", "text_col", "blocks", "svd_components", "embedding_col")}
+        state |= {"word": asdict(self.word), "char": asdict(self.char) if self.char else None, "models": {}}
+        for name, model in self.models.items():
+            if isinstance(model, TfidfModel):
+                model.counter.write().overwrite().save(f"{path}/{name}-counter")
+                idf = pd.DataFrame({"idx": np.arange(len(model.terms), dtype=np.int32), "term": model.terms, "idf": model.idf})
+                spark.createDataFrame(idf, "idx int, term string, idf double").write.mode("overwrite").parquet(f"{path}/{name}-terms")
+            elif isinstance(model, SvdModel):
+                basis = pd.DataFrame({"idx": np.arange(len(model.basis), dtype=np.int32), "v": list(model.basis)})
+                spark.createDataFrame(basis, "idx int, v array<double>").write.mode("overwrite").parquet(f"{path}/{name}-basis")
+            else:
+                state["models"][name] = asdict(model) if is_dataclass(model) else model
+        spark.createDataFrame([(json.dumps(state),)], "state string").write.mode("overwrite").parquet(f"{path}/state")
+
+    @classmethod
+    def load(cls, spark, path: str) -> FeatureModel:
+        state = json.loads(spark.read.parquet(f"{path}/state").first()["state"])
+        grams = {k: Ngrams(**(state[k] | {"stop_words": tuple(state[k]["stop_words"])})) if state[k] else None for k in ("word", "char")}
+        made = cls(state["representation"], state["text_col"], tuple(state["blocks"]), grams["word"], grams["char"], state["svd_components"], state["embedding_col"])
+        kinds = {"counts": ScaleModel, "scaled": ScaleModel, "categories": OneHotModel}
+        made.models = {name: kinds[name](**(kept | {"columns": tuple(kept["columns"])})) if name in kinds else kept for name, kept in state["models"].items()}
+        for name in ("word", "char") if "text" in made.blocks else ():
+            if grams[name] is not None:
+                rows = spark.read.parquet(f"{path}/{name}-terms").orderBy("idx").collect()  # bounded by max_features
+                made.models[name] = TfidfModel(grams[name], [r["term"] for r in rows], [r["idf"] for r in rows], CountVectorizerModel.load(f"{path}/{name}-counter"))
+        if made.representation == "dense" and "text" in made.blocks:
+            rows = spark.read.parquet(f"{path}/svd-basis").orderBy("idx").collect()
+            made.models["svd"] = SvdModel(np.array([r["v"] for r in rows]))
+        return made
+
     def _text_width(self) -> int:
-        return self.models["word"].width + self.models["char"].width
+        return sum(self.models[name].width for name in ("word", "char") if name in self.models)
 
     def _text(self, df: DataFrame) -> DataFrame:
         """Add `tfidf`: the word block followed by the character block."""
         if "text" not in self.blocks:
             return df
         df = self.models["word"].transform(df, self.text_col, "word_tfidf")
+        if "char" not in self.models:
+            return df.withColumnRenamed("word_tfidf", "tfidf")
         df = self.models["char"].transform(df, self.text_col, "char_tfidf")
         shift = self.models["word"].width
         return df.withColumn("tfidf", F.struct(

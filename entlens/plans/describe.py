@@ -68,12 +68,11 @@ def summary(spark, folder):
 
 
 @query("i05_only_in_second", f"""WITH {LABPAIR} SELECT entity, count(*) AS rows FROM testpair WHERE entity NOT IN (SELECT entity FROM labpair) GROUP BY 1
-UNION ALL SELECT CAST(c_custkey AS VARCHAR), count(*) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) GROUP BY 1""")
+UNION ALL SELECT CAST(doc_id AS VARCHAR), count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY 1""")
 def only_second(spark, folder):
     entities = D.only_in_second(labelled_pairs(spark, folder), unlabelled_pairs(spark, folder), "entity")
-    orders = X.table(spark, folder, "orders").select(F.col("o_custkey").cast("string").alias("entity"))
-    customers = X.table(spark, folder, "customer").select(F.col("c_custkey").cast("string").alias("entity"))
-    return entities.unionByName(D.only_in_second(orders, customers, "entity"))
+    labelled, documents = (X.table(spark, folder, t).select(F.col("doc_id").cast("string").alias("entity")) for t in ("labels", "documents"))
+    return entities.unionByName(D.only_in_second(labelled, documents, "entity"))
 
 
 @query("i06_shares_in_two_tables", f"""WITH {LABPAIR}, a AS (SELECT entity, count(*) AS n FROM labpair GROUP BY 1), b AS (SELECT entity, count(*) AS n FROM testpair GROUP BY 1)
@@ -291,7 +290,7 @@ SELECT round(quantile_cont(w, 0.5), 6) AS median_words, round(quantile_cont(w /
 def sentence_share(spark, folder):
     s = X.pairs(spark, folder).select(
         T.word_count(M.entity_sentences(F.col("text"), F.col("entity"))).alias("w"), T.word_count("text").alias("n"))
-    s = s.select("w", (F.col("w") / F.col("n")).alias("r"))
+    s = s.select("w", F.try_divide("w", "n").alias("r"))
     words = exact_quantiles(s, "w", [0.5]).select(F.round("p50", 6).alias("median_words"))
     return words.withColumn("median_share", F.round(exact_quantiles(s, "r", [0.5]).scalar(), 6))
 
