@@ -121,7 +121,39 @@ def op7(spark, folder):
     return ann.nearest_neighbours(vectors, F.col("vec_id") % 100 == 0)
 
 
-@query("op8_license_scan")
+def _op8_sql() -> str:
+    """The method over tables: postings of words, anchors of templates, starts that two anchors agree on, aligned weights."""
+    templates, words = [], []
+    for t, template in enumerate(licenses.TEMPLATES):
+        own, key = template.text.split(), template.key.split()
+        at = next(i for i in range(len(own)) if own[i:i + len(key)] == key)
+        templates.append(f"({t}, '{template.label}', {at}, {len(key)})")
+        words += [f"({t}, {j}, '{w}')" for j, w in enumerate(own)]
+    phrases = " UNION ALL ".join(
+        f"SELECT a.doc_id, a.i, '{label}' AS label FROM p a " + " ".join(
+            f"JOIN p a{k} ON a{k}.doc_id = a.doc_id AND a{k}.i = a.i + {k} AND a{k}.word = '{w}'" for k, w in enumerate(phrase.split()) if k)
+        + f" WHERE a.word = '{phrase.split()[0]}'" for phrase, label in licenses.PHRASES)
+    return rf"""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+p AS MATERIALIZED (SELECT doc_id, unnest(range(len(ws))) AS i, unnest(ws) AS word FROM d),
+b AS ({phrases}),
+t(t, label, key_at, key_n) AS (VALUES {", ".join(templates)}), w(t, j, word) AS (VALUES {", ".join(words)}),
+f AS (SELECT word, count(DISTINCT doc_id) AS n FROM p WHERE word IN (SELECT word FROM w) GROUP BY word),
+x AS (SELECT t, j, w.word, round(ln(((SELECT count(*) FROM d) + 1) / (coalesce(n, 0) + 1)) + 0.001, 6) AS weight FROM w LEFT JOIN f USING (word)),
+anchors AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY weight DESC, j) AS rarest FROM x) WHERE rarest <= {licenses.ANCHORS}),
+starts AS (SELECT doc_id, t, i - j AS start FROM p JOIN anchors USING (word) GROUP BY ALL HAVING count(*) >= {licenses.LEAST_AGREEING}),
+tot AS (SELECT t, sum(weight) AS total FROM x GROUP BY t),
+scored AS (SELECT doc_id, t, start, round(sum(weight) / any_value(total), 6) AS score, count(*) FILTER (j BETWEEN key_at AND key_at + key_n - 1) AS keyed
+FROM starts JOIN x USING (t) JOIN t USING (t) JOIN tot USING (t) JOIN p USING (doc_id) WHERE p.i = start + j AND p.word = x.word GROUP BY doc_id, t, start),
+n AS (SELECT doc_id, label, score FROM scored JOIN t USING (t) WHERE keyed = key_n AND score >= {licenses.LEAST_SCORE}),
+bb AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY doc_id),
+l AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM b UNION ALL SELECT doc_id, label FROM n) GROUP BY doc_id),
+m AS (SELECT doc_id, max(score) AS score FROM n GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(score, 0.0) END AS DOUBLE) AS score
+FROM d LEFT JOIN bb USING (doc_id) LEFT JOIN l USING (doc_id) LEFT JOIN m USING (doc_id)"""
+
+
+@query("op8_license_scan", _op8_sql())
 def op8(spark, folder):
     rows = licenses.scan_licenses(documents(spark, folder).select("doc_id", "text"))
     base = F.array_sort(F.array_distinct("base.label"))
