@@ -32,8 +32,8 @@ def test_unescape_matches_the_standard_library(spark):
 
 
 def test_negation_scope(spark):
-    got = apply(spark, T.mark_negation_scope, "I have no side effects and the treatment works well.")
-    assert got == ["I have no side_NEG effects_NEG and_NEG the_NEG treatment_NEG works well."]
+    got = apply(spark, T.mark_negation_scope, "There was no rash after four weeks and sleep improved.")
+    assert got == ["There was no rash_NEG after_NEG four_NEG weeks_NEG and_NEG sleep improved."]
 
 
 def test_stop_words_keep_negations(spark):
