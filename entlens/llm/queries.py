@@ -24,7 +24,33 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
-@query("op1_sharding")
+def _op1_sql(shards: int = 16, vnodes: int = 128) -> str:
+    """The ring over tables: places, arcs, counts, own shards first, then one arc's overflow after the other."""
+    return f"""WITH RECURSIVE tab AS (SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, v) ORDER BY v) AS t FROM range(256) r(v)),
+d AS MATERIALIZED (SELECT doc_id, strlen(coalesce(text, '')) AS bytes, xor(list_reduce(list_transform(regexp_extract_all(hex(coalesce(text, '')), '..'), lambda h: CAST('0x' || h AS BIGINT)),
+lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS crc, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS BIGINT) AS place FROM documents, tab),
+node AS (SELECT *, row_number() OVER (ORDER BY place, n) - 1 AS arc FROM (SELECT n, n % {shards} AS shard, CAST('0x' || substr(md5('node-' || n), 1, 15) AS BIGINT) AS place FROM range({shards * vnodes}) r(n))),
+ring AS (SELECT list(shard ORDER BY arc) AS owners FROM node),
+k AS MATERIALIZED (SELECT d.*, coalesce(node.arc, 0) AS arc FROM d ASOF LEFT JOIN node ON d.place <= node.place),
+n AS (SELECT arc, count(*) AS n FROM k GROUP BY arc), own AS (SELECT n.arc, shard, n.n FROM n JOIN node USING (arc)),
+cap AS (SELECT list(count_all // {shards} + CAST(s < count_all % {shards} AS BIGINT) ORDER BY s) AS caps FROM (SELECT count(*) AS count_all FROM k), range({shards}) r(s)),
+h AS MATERIALIZED (SELECT arc, shard, n, greatest(0, least(n, caps[shard + 1] - before)) AS took, least(before, caps[shard + 1]) AS slot FROM
+(SELECT arc, shard, n, coalesce(sum(n) OVER (PARTITION BY shard ORDER BY arc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM own), cap),
+room AS (SELECT list(caps[s + 1] - coalesce(took, 0) ORDER BY s) AS room FROM range({shards}) r(s) LEFT JOIN (SELECT shard, sum(took) AS took FROM h GROUP BY shard) ON shard = s, cap),
+o AS MATERIALIZED (SELECT row_number() OVER (ORDER BY arc) AS k, arc, n - took AS need, took AS placed, owners[arc + 1:] || owners[:arc] AS walk FROM h, ring WHERE n > took),
+steps AS (SELECT CAST(1 AS BIGINT) AS k, CAST(1 AS BIGINT) AS j, CAST(need AS BIGINT) AS need, CAST(placed AS BIGINT) AS placed, CAST(room AS BIGINT[]) AS room, CAST(-1 AS BIGINT) AS arc, CAST(0 AS BIGINT) AS shard,
+CAST(0 AS BIGINT) AS first, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS slot FROM o, room WHERE k = 1
+UNION ALL SELECT CASE WHEN left_over = 0 THEN k + 1 ELSE k END, CASE WHEN left_over = 0 THEN 1 ELSE j + 1 END, CASE WHEN left_over = 0 THEN coalesce(next_need, 0) ELSE left_over END,
+CASE WHEN left_over = 0 THEN coalesce(next_placed, 0) ELSE placed + take END, list_transform(room, lambda r, i: CASE WHEN i = shard + 1 THEN r - take ELSE r END), arc, shard, placed, take, caps[shard + 1] - room[shard + 1]
+FROM (SELECT s.k, s.j, s.placed, s.room, s.need, o.arc, o.walk[s.j] AS shard, least(s.need, s.room[o.walk[s.j] + 1]) AS take, s.need - least(s.need, s.room[o.walk[s.j] + 1]) AS left_over,
+nx.need AS next_need, nx.placed AS next_placed FROM steps s JOIN o ON o.k = s.k LEFT JOIN o nx ON nx.k = s.k + 1), cap),
+a AS (SELECT arc, shard, 0 AS first, took AS n, slot FROM h WHERE took > 0 UNION ALL SELECT arc, shard, first, n, slot FROM steps WHERE n > 0),
+q AS (SELECT *, row_number() OVER (PARTITION BY arc ORDER BY place, doc_id, crc, bytes) - 1 AS rank FROM k)
+SELECT doc_id, CAST(bytes + 1 AS BIGINT) AS size, crc AS text_crc32, 'rows' AS law, CAST(a.shard AS INT) AS shard, CAST(a.slot + rank - a.first AS BIGINT) AS slot, CAST(NULL AS INT) AS grown_shard, CAST(node.shard AS INT) AS home_shard
+FROM q JOIN a ON a.arc = q.arc AND rank >= a.first AND rank < a.first + a.n JOIN node ON node.arc = q.arc"""
+
+
+@query("op1_sharding", _op1_sql())
 def op1(spark, folder):
     return sharding.place_on_ring(documents(spark, folder))
 
