@@ -1,6 +1,7 @@
 """Near copies by sets of five words against all pairs."""
 
 import numpy as np
+import pytest
 
 from entlens.llm import simhash
 from tests_llm_data import make
@@ -38,3 +39,48 @@ def test_every_pair_at_the_threshold(spark):
     assert all(0.8 <= similarity(texts[i], texts[i + 1]) < 0.82 for i in range(0, len(texts), 2))
     got = found(spark, texts)
     assert [i for i in range(0, len(texts), 2) if got[i + 1] != i] == []
+
+
+def test_no_pair_below_the_threshold(spark):
+    rng = np.random.default_rng(12)
+    texts = [t for shared in (53, 50, 48, 45, 40) for _ in range(20) for t in pairs_of(rng, 60, shared)]
+    texts += [t for shared in (266, 255, 240, 225) for _ in range(20) for t in pairs_of(rng, 300, shared)]
+    assert all(0.45 < similarity(texts[i], texts[i + 1]) < 0.8 for i in range(0, len(texts), 2))
+    assert all(node == component for node, component in found(spark, texts).items())
+
+
+@pytest.mark.parametrize("block", [simhash.BLOCK, 20])
+def test_classes_of_groups_are_those_of_all_pairs(spark, monkeypatch, block):
+    """Groups whose copies are near the first text but not each other, chains, and passages that many texts share."""
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rng = np.random.default_rng(13)
+    texts = []
+    for _ in range(3):
+        base = fresh(rng, 204)
+        texts.append(" ".join(base))
+        for _ in range(25):
+            own, r, at = list(base), int(rng.integers(10, 22)), int(rng.integers(0, 180))
+            own[at:at + r] = fresh(rng, len(own[at:at + r]))
+            texts.append(" ".join(own))
+    step = fresh(rng, 104)
+    for _ in range(15):
+        step = step[8:] + fresh(rng, 8)
+        texts.append(" ".join(step))
+    passage = fresh(rng, 150)
+    texts += [" ".join(passage + fresh(rng, int(rng.integers(20, 60)))) for _ in range(40)]
+    texts += ["one two", "one two", "One  two", "one", "", " \n"]
+    order = rng.permutation(len(texts))
+    texts = [texts[i] for i in order]
+    parent = list(range(len(texts)))
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if similarity(texts[i], texts[j]) >= 0.8:
+                a, b = top(i), top(j)
+                parent[max(a, b)] = min(a, b)
+    assert found(spark, texts) == {i: top(i) for i in range(len(texts))}
