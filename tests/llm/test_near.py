@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from entlens.llm import simhash
 from tests_llm_data import make
 
@@ -84,3 +85,13 @@ def test_classes_of_groups_are_those_of_all_pairs(spark, monkeypatch, block):
                 a, b = top(i), top(j)
                 parent[max(a, b)] = min(a, b)
     assert found(spark, texts) == {i: top(i) for i in range(len(texts))}
+
+
+def test_one_of_each_class_stays(spark, tmp_path):
+    rng = np.random.default_rng(14)
+    near = [pairs_of(rng, 60, 58) for _ in range(4)]
+    other = " ".join(fresh(rng, 64))
+    rows = [(1, near[0][0]), (2, near[0][1]), (2, other), (None, near[1][0]), (None, near[1][1]), (None, near[2][0]), (5, near[2][1]), (6, near[3][0]), (6, near[3][1]), (7, other), (1, near[0][0])]
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, make(spark, rows), str(tmp_path)).collect()]
+    assert len(kept) == 5 and {(1, near[0][0]), (2, other), (5, near[2][1])} <= set(kept)
+    assert sum(i is None and t in near[1] for i, t in kept) == 1 and sum(i == 6 and t in near[3] for i, t in kept) == 1
