@@ -1,8 +1,8 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
 Five small transducers read the word classes of a clause: insult, threat, target, negation and reported speech. Each has a
-few states and multiplies the weight of an insult by a factor that depends on what it has read. Their composition runs once
-over a clause; the weights of a text's matched clauses add up to the log-odds of its score. Insults and their weights are
+few states and multiplies the weight of an insult by a factor that depends on what it has read. A threat with a target in its
+clause has a weight of its own, under the same negation and report. Their composition runs once over a clause; the weights of a text's matched clauses add up to the log-odds of its score. Insults and their weights are
 learned from labels; the words of the other classes are given.
 """
 
@@ -26,9 +26,10 @@ CLASSES = {
 }
 #: Labelled rows learned from at most; beyond it a hash of the row decides.
 MOST_ROWS = 40_000
-#: Terms kept at most, the least log-odds of a term, and the least share of the documents with label 1 that hold it.
-MOST_TERMS, LEAST_WEIGHT, LEAST_SHARE = 5_000, 0.35, 0.03
-PREFIXES = (4, 5, 6)
+#: Terms kept at most, the least log-odds of a term, and the least number of documents with label 1 that hold it.
+MOST_TERMS, LEAST_WEIGHT, LEAST_COUNT = 5_000, 0.35, 3
+#: Letters of a whole word at least, and of the beginnings.
+SHORTEST, PREFIXES = 2, (4, 5, 6, 7, 8)
 PRIOR = -2.2
 
 # A machine: {(state, class): (next state, factor)}. A word of another class leaves state and weight as they are.
@@ -57,7 +58,7 @@ def sigmoid(x: float) -> float:
 
 
 class Grammar:
-    """The composed machine with its lexicon: terms are whole words ("=word") or beginnings ("word")."""
+    """The composed machine with its lexicon: terms are whole words ("=word"), beginnings ("word") or threats beside a target ("+word")."""
 
     def __init__(self, terms: dict[str, float]):
         import re
@@ -68,11 +69,12 @@ class Grammar:
         self.classes = {w: name for name, words in CLASSES.items() for w in words.split()}
         self.machine = compose(MACHINES)
         self.start = ("start",) * len(MACHINES)
+        self.negation, self.report = list(MACHINES).index("negation"), list(MACHINES).index("report")
         self.clause = re.compile(r"[^.,;:!?\n]+").finditer
         self.word = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*").finditer
         self.automaton = ahocorasick.Automaton()
         for term in terms:
-            self.automaton.add_word(term.removeprefix("="), True)
+            self.automaton.add_word(term.lstrip("=+"), True)
         if terms:
             self.automaton.make_automaton()
 
@@ -90,7 +92,7 @@ class Grammar:
             return []
         found = []
         for clause in self.clause(lower):
-            state, total = self.start, 0.0
+            state, total, threat, target = self.start, 0.0, 0.0, False
             for m in self.word(lower, *clause.span()):
                 word = m.group()
                 own = self.weight(word)
@@ -98,6 +100,10 @@ class Grammar:
                 if symbol:
                     state, factor = self.machine[state, symbol]
                     total += own * factor
+                    if symbol in ("threat", "target"):
+                        threat, target = max(threat, self.terms.get("+" + word, 0.0)), target or symbol == "target"
+            if target:
+                total += threat * 0.75 ** (state[self.negation] == "seen") * 0.75 ** (state[self.report] == "seen")
             if total:
                 found.append((*clause.span(), total))
         return found
@@ -127,19 +133,25 @@ def learn_terms(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
     texts = docs.select(F.col(f"`{key}`").alias("_key"), F.lower(F.col(f"`{text}`")).alias("_text")).where(F.length("_text") > 0)
     # The labelled rows are bounded by `most_rows`.
     texts = texts.join(F.broadcast(own), "_key").withColumn("_hash", F.xxhash64("_text")).dropDuplicates(["_hash"])
-    words = F.array_distinct(F.filter(F.split(F.col("_text"), r"[^\p{L}']+"), lambda w: F.length(w) >= min(PREFIXES)))
+    words = F.array_distinct(F.filter(F.split(F.col("_text"), r"[^\p{L}']+"), lambda w: F.length(w) >= SHORTEST))
 
     def beginnings(n: int):
         return F.transform(F.filter(words, lambda w: F.length(w) >= n), lambda w: F.substring(w, 1, n))
 
-    terms = F.array_distinct(F.concat(F.transform(words, lambda w: F.concat(F.lit("="), w)), *map(beginnings, PREFIXES)))
+    threats, targets = (F.array(*map(F.lit, CLASSES[name].split())) for name in ("threat", "target"))
+
+    def aimed(clause):
+        own = F.split(clause, r"[^\p{L}']+")
+        return F.when(F.arrays_overlap(own, targets), F.transform(F.array_intersect(own, threats), lambda w: F.concat(F.lit("+"), w))).otherwise(F.array().cast("array<string>"))
+
+    pairs = F.flatten(F.transform(F.split(F.col("_text"), r"[.,;:!?\n]+"), aimed))
+    terms = F.array_distinct(F.concat(F.transform(words, lambda w: F.concat(F.lit("="), w)), *map(beginnings, PREFIXES), pairs))
     counts = texts.select("_label", F.explode(terms).alias("term")).groupBy("term").agg(
         F.sum("_label").cast("double").alias("t"), F.count("*").cast("double").alias("n"))
     z = 1.64
     share = F.col("t") / F.col("n")
     low = (share + z * z / (2 * F.col("n")) - z * F.sqrt(share * (1 - share) / F.col("n") + z * z / (4 * F.col("n") * F.col("n")))) / (1 + z * z / F.col("n"))
-    toxic = texts.agg(F.coalesce(F.sum("_label"), F.lit(0)).alias("n")).scalar()
-    good = counts.where((F.col("t") >= 3) & (F.col("t") >= LEAST_SHARE * toxic)).withColumn("weight", F.log(F.greatest(low, F.lit(1e-9)) / (1 - F.least(low, F.lit(1 - 1e-9)))))
+    good = counts.where(F.col("t") >= LEAST_COUNT).withColumn("weight", F.log(F.greatest(low, F.lit(1e-9)) / (1 - F.least(low, F.lit(1 - 1e-9)))))
     good = materialise(good.where(F.col("weight") >= LEAST_WEIGHT).select("term", "weight"), "toxic-terms")
     return {r.term: round(r.weight, 6) for r in good.orderBy(F.desc("weight"), "term").limit(MOST_TERMS).collect()}
 
