@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entlens.llm import ann, bpe, licenses, linededup, mixing, quality, sharding, simhash, tokencount, toxicity
+from entlens.llm import ann, bpe, licenses, linededup, manifest, mixing, quality, sharding, simhash, tokencount, toxicity
 from entlens.llm.common import LOWER, UPPER, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -201,3 +201,35 @@ def op9(spark, folder):
 @query("op10_token_counts")
 def op10(spark, folder):
     return tokencount.count_tokens(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
+
+
+OP13_SQL = r"""WITH RECURSIVE tab AS (SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, v) ORDER BY v) AS t FROM range(256) r(v)),
+raw AS MATERIALIZED (SELECT *, xor(list_reduce(list_transform(regexp_extract_all(hex(CAST(doc_id AS VARCHAR)), '..'), lambda h: CAST('0x' || h AS BIGINT)),
+lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 7 = 0 AS changed FROM documents, tab),
+d AS MATERIALIZED (SELECT doc_id, lang, sha256(a || n || b) AS leaf, sha256(a || CASE WHEN changed THEN n1 ELSE n END || b) AS other, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY lang) AS size
+FROM (SELECT *, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS a,
+coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS n, coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') AS n1, coalesce(strlen(text) || ':' || text, '-') AS b FROM raw)),
+tree AS (SELECT 0 AS level, lang, i, size, leaf AS h FROM d
+UNION ALL SELECT level + 1, lang, i // 2, (size + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM tree WHERE size > 1 GROUP BY level, lang, i // 2, size),
+subs AS MATERIALIZED (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS size FROM tree WHERE size = 1),
+top AS (SELECT 0 AS level, i, size, subroot AS h FROM subs UNION ALL SELECT level + 1, i // 2, (size + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM top WHERE size > 1 GROUP BY level, i // 2, size),
+low AS (SELECT d.doc_id, d.lang, t.level, s.h AS sib, (d.i >> t.level) & 1 AS odd FROM d JOIN (SELECT DISTINCT lang, level FROM tree WHERE size > 1) t ON t.lang IS NOT DISTINCT FROM d.lang
+LEFT JOIN tree s ON s.lang IS NOT DISTINCT FROM d.lang AND s.level = t.level AND s.i = xor(d.i >> t.level, 1)),
+high AS (SELECT subs.lang, t.level, s.h AS sib, (subs.i >> t.level) & 1 AS odd FROM subs, (SELECT DISTINCT level FROM top WHERE size > 1) t LEFT JOIN top s ON s.level = t.level AND s.i = xor(subs.i >> t.level, 1)),
+steps AS MATERIALIZED (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY part, level) AS k, sib, odd FROM
+(SELECT doc_id, 0 AS part, level, sib, odd FROM low UNION ALL SELECT doc_id, 1, level, sib, odd FROM d JOIN high ON high.lang IS NOT DISTINCT FROM d.lang)),
+fold AS (SELECT doc_id, 0 AS k, other AS h FROM d UNION ALL
+SELECT f.doc_id, s.k, sha256(CASE WHEN odd = 1 THEN coalesce(sib, '') || h ELSE h || coalesce(sib, '') END) FROM fold f JOIN steps s ON s.doc_id = f.doc_id AND s.k = f.k + 1),
+whole AS (SELECT h AS root FROM top WHERE size = 1),
+proof AS (SELECT doc_id, sha256(coalesce(string_agg(sib, '' ORDER BY k), '')) AS proof_sha256 FROM steps GROUP BY doc_id),
+folded AS (SELECT doc_id, arg_max(h, k) AS folded_root FROM fold GROUP BY doc_id)
+SELECT d.doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM d JOIN subs ON subs.lang IS NOT DISTINCT FROM d.lang JOIN folded USING (doc_id) LEFT JOIN proof ON proof.doc_id = d.doc_id, whole"""
+
+
+@query("op13_merkle_manifest", OP13_SQL)
+def op13(spark, folder):
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    rows = manifest.manifest(documents(spark, folder), changed={"n_chars": tampered})
+    proof = F.concat_ws("", F.transform("proof", lambda s: F.concat(s["left"], s["right"])))
+    return rows.select("doc_id", "leaf", "subroot", "root", F.sha2(proof, 256).alias("proof_sha256"), "folded_root", "verified")
