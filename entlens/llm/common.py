@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # The ASCII white space that separates words, as a regex class and as characters.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACE_CHARS = "\x20\x09\x0a\x0b\x0c\x0d"
+SPACE = re.compile(SPACE_CLASS.encode())
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -32,3 +34,33 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def power_of_two(n: int) -> int:
     return 1 << max(0, (n - 1).bit_length())
+
+
+def pieces(text: bytes, size: int = 1_000_000) -> Iterator[bytes]:
+    """A text in pieces that end between words."""
+    start = 0
+    while start < len(text):
+        cut = SPACE.search(text, start + size) if start + size < len(text) else None
+        end = cut.start() if cut else len(text)
+        yield text[start:end]
+        start = end
+
+
+def run_batches(batches: Iterator, linked):
+    """`linked` of whole runs, in a stream sorted by `run`."""
+    import numpy as np
+    import pyarrow as pa
+
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        held = pa.concat_tables([held, table]) if held is not None else table
+        run = held.column("run").to_numpy()
+        if not len(run):
+            continue
+        last = int(np.searchsorted(run, run[-1]))  # the last run may go on in the next batch
+        if last:
+            yield linked(held.slice(0, last).combine_chunks())
+            held = held.slice(last)
+    if held is not None and held.num_rows:
+        yield linked(held.combine_chunks())

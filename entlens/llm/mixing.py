@@ -105,6 +105,17 @@ def calibrate(raked: DataFrame, mix: Mix) -> DataFrame:
     return cells.withColumn("probability", F.least(F.lit(rate) * F.col("ratio"), F.lit(1.0)))
 
 
+def _probabilities(rows: DataFrame, mix: Mix) -> DataFrame:
+    """(source, lang, topic, weight, ratio, probability) of the cells of rows with their tokens."""
+    cells = materialise(rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), "mix-cells")
+    return materialise(calibrate(rake(cells, mix), mix).select(*MARGINS, "weight", "ratio", "probability"), "mix-probabilities")
+
+
+def _cell(text: str, source: str, lang: str) -> list[Column]:
+    whole = F.col(f"`{text}`")
+    return [F.coalesce(F.col(f"`{source}`"), F.lit("")).alias("source"), F.coalesce(F.col(f"`{lang}`"), F.lit("")).alias("lang"), topic(whole).alias("topic"), tokens(whole).alias("tokens")]
+
+
 def mix_documents(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang") -> DataFrame:
     """A row per input row: key, source, lang, topic, tokens (long), weight (double: the tokens its cell should have), ratio,
     probability (double) and drawn (boolean).
@@ -113,12 +124,15 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id", text:
     tokens have the ratio 0 and are never drawn. Rows of one key are drawn together; equal ratios need no rule. A hot source is
     combined per task before it moves, and joined by its cell's few rows. Only the five named columns are read. An empty table gives no rows.
     """
-    whole = F.col(f"`{text}`")
-    rows = docs.select(F.col(f"`{key}`").alias("_key"), F.coalesce(F.col(f"`{source}`"), F.lit("")).alias("source"),
-                       F.coalesce(F.col(f"`{lang}`"), F.lit("")).alias("lang"), topic(whole).alias("topic"), tokens(whole).alias("tokens"))
-    rows = materialise(rows, "mix-rows")
-    cells = rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"))
-    cells = materialise(cells, "mix-cells")
-    known = materialise(calibrate(rake(cells, mix), mix).select(*MARGINS, "weight", "ratio", "probability"), "mix-probabilities")
-    out = rows.join(known, list(MARGINS))
+    rows = materialise(docs.select(F.col(f"`{key}`").alias("_key"), *_cell(text, source, lang)), "mix-rows")
+    out = rows.join(_probabilities(rows, mix), list(MARGINS))
     return out.select(F.col("_key").alias(key), *MARGINS, "tokens", "weight", "ratio", "probability", (draw(F.col("_key"), mix.seed) < F.col("probability")).alias("drawn"))
+
+
+def draw_documents(docs: DataFrame, mix: Mix = Mix(), key: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang") -> DataFrame:
+    """The input rows that mix_documents draws, with their own columns: each by its own cell's probability, whatever other rows its
+    key is on. The rows are written once with their cells; no text is shuffled while the table of cells is small enough to send."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = materialise(docs.select(row, F.col(f"`{key}`").alias("_key"), *_cell(text, source, lang)), "mix-rows")
+    out = rows.join(_probabilities(rows, mix).select(*MARGINS, "probability"), list(MARGINS))
+    return out.where(draw(F.col("_key"), mix.seed) < F.col("probability")).select("row.*")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entlens.llm import ann, bpe, licenses, linededup, manifest, mixing, quality, sharding, simhash, tokencount, toxicity
+from entlens.llm import ann, bpe, licenses, linededup, manifest, mixing, negatives, passages, quality, sharding, simhash, tokencount, toxicity
 from entlens.llm.common import LOWER, UPPER, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -203,6 +203,41 @@ def op10(spark, folder):
     return tokencount.count_tokens(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
 
 
+OP11_SQL = f"""WITH d AS MATERIALIZED (SELECT doc_id, {SQL_WORDS} AS ws FROM documents),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS words FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM d)),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY words ORDER BY doc_id, i) AS n FROM g) WHERE n > 1),
+w AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS word FROM d),
+c AS (SELECT doc_id, i, word, max(later.i) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) IS NOT NULL AS covered FROM w LEFT JOIN later USING (doc_id, i)),
+k AS (SELECT doc_id, count(*) FILTER (covered) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT covered) AS kept FROM c GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)"""
+
+
+@query("op11_substring_dedup", OP11_SQL)
+def op11(spark, folder):
+    rows = passages.drop_repeats(documents(spark, folder).select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    digest = F.when(F.col("kept").isNull(), F.col("words_sha256")).otherwise(F.sha2(F.col("kept").cast("binary"), 256))
+    return rows.select("doc_id", "n_words", removed.alias("n_removed"), digest.alias("kept_sha256"))
+
+
+OP12_SQL = """WITH v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec FROM embeddings
+WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.row AS anchor, a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same, CAST(list_sum(list_transform(list_zip(a.vec, v.vec), lambda z: z[1] * z[2])) AS BIGINT) AS score
+FROM v a JOIN v ON a.row <> v.row WHERE a.vec_id % 50 = 0),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS k FROM s WHERE same) WHERE k <= 5),
+n AS (SELECT p.anchor, p.k, p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+row_number() OVER (PARTITION BY p.anchor, p.k ORDER BY s.score DESC, s.vec_id) AS rank FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3"""
+
+
+@query("op12_hard_negatives", OP12_SQL)
+def op12(spark, folder):
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 OP13_SQL = r"""WITH RECURSIVE tab AS (SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, v) ORDER BY v) AS t FROM range(256) r(v)),
 raw AS MATERIALIZED (SELECT *, xor(list_reduce(list_transform(regexp_extract_all(hex(CAST(doc_id AS VARCHAR)), '..'), lambda h: CAST('0x' || h AS BIGINT)),
 lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 7 = 0 AS changed FROM documents, tab),

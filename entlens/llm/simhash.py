@@ -6,10 +6,6 @@ the chain must agree exactly, so these bits, with the place where the chain star
 The rest of the chain is then held against the growing budgets, and only what passes gets the full Hamming check.
 
 The keys are the exact beginnings that the budgets force, so no pair within the radius is missed.
-
-Wide codes with a large radius force hardly a bit. A scheme with a `similarity` goes by the sets of shingles instead: of two sets
-that share so much of their union, the first (1 - similarity) of the hashes of either, in order, hold one that both have. These
-hashes are the keys. Codes only rule pairs out there, and each link is settled on the sets themselves.
 """
 
 from __future__ import annotations
@@ -21,9 +17,11 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from entlens.llm.common import pieces, run_batches
 from entlens.session import materialise
 
-CHUNK_BYTES = 1_000_000
+#: Hashes whose bits are counted at once.
+CHUNK = 150_000
 #: Rows of one key that a task compares at once; a larger key is dealt in blocks, each pair of blocks to a task of its own.
 BLOCK = 2048
 SMALL_RUN = 8
@@ -35,7 +33,6 @@ class Scheme:
     bits: int = 64
     radius: int = 2
     segments: int = 16
-    similarity: int | None = None  # percent of the union that two sets of shingles share at least
 
     @property
     def width(self) -> int:
@@ -53,11 +50,8 @@ class Scheme:
         return [(n, budget) for budget, n in longest.items()]
 
 
-#: The registered query: 3 words, 64 bits, 2 differences; complete.
+#: 3 words, 64 bits, 2 differences; complete.
 LINKS = Scheme()
-#: The pipeline: 5 words and a similarity of 0.8 or more. Sets that share 0.8 of their union differ in about 39 of 256 bits with a
-#: spread of 6 (48 for sets of 4 and 5), unlike texts in 128 with a spread of 8: a pair beyond 80 is not looked at.
-NEAR = Scheme(words=5, bits=256, radius=80, similarity=80)
 
 
 def _mix(h, word: int):
@@ -73,52 +67,52 @@ def _mix(h, word: int):
         return z ^ (z >> np.uint64(31))
 
 
-def shingle_hashes(text: bytes, k: int) -> list[int]:
-    """XXH64 (seed 42) of every k-word shingle of the text with A-Z lower-cased; of the whole sequence if it is shorter."""
+def shingle_hashes(text: bytes, k: int) -> Iterator:
+    """XXH64 (seed 42) of every k-word shingle of the text with A-Z lower-cased, piece by piece; of the whole sequence if it is shorter."""
+    import numpy as np
     import xxhash
 
-    words = text.lower().split()
-    if not words:
-        return []
-    joined = b" ".join(words)
-    starts = [0, *accumulate(len(w) + 1 for w in words)]
-    digest = xxhash.xxh64_intdigest
-    if len(words) <= k:
-        return [digest(joined, 42)]
-    return [digest(joined[a:b - 1], 42) for a, b in zip(starts, starts[k:])]
-
+    digest, words, any_ = xxhash.xxh64_intdigest, [], False
+    for piece in pieces(text):
+        words += piece.lower().split()
+        if len(words) >= k:
+            joined = b" ".join(words)
+            starts = [0, *accumulate(len(w) + 1 for w in words)]
+            yield np.array([digest(joined[a:b - 1], 42) for a, b in zip(starts, starts[k:])], np.uint64)
+            words, any_ = words[len(words) - k + 1:], True
+    if words and not any_:
+        yield np.array([digest(b" ".join(words), 42)], np.uint64)
 
-def codes(texts: list[bytes], scheme: Scheme, sets: list | None = None):
-    """The codes as rows of 64-bit words: a bit is 1 if it is in over half the hashes; a text without words is all 0.
 
-    With `sets` the codes are of each text's distinct hashes, and these are put there in order.
-    """
+def codes(texts: list[bytes], scheme: Scheme):
+    """The codes as rows of 64-bit words: a bit is 1 if it is in over half the hashes; a text without words is all 0."""
     import numpy as np
 
-    out = np.zeros((len(texts), scheme.bits // 64), np.uint64)
-    start = 0
-    while start < len(texts):
-        hashes, counts, end, held = [], [], start, 0
-        while end < len(texts) and (held == 0 or held + len(texts[end]) <= CHUNK_BYTES):
-            held += len(texts[end])
-            own = shingle_hashes(texts[end], scheme.words)
-            if sets is not None:
-                own = np.unique(np.array(own, np.uint64))
-                sets.append(own)
-            hashes.append(own)
-            counts.append(len(own))
-            end += 1
-        counts = np.array(counts)
-        full = np.flatnonzero(counts)
-        if len(full):
-            all_hashes = np.concatenate([np.array(h, np.uint64) for h in hashes])
-            begins = (np.cumsum(counts) - counts)[full]
-            for word in range(scheme.bits // 64):
-                bits = np.unpackbits(_mix(all_hashes, word).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-                ones = np.add.reduceat(bits, begins, axis=0, dtype=np.int32)
-                out[start + full, word] = np.ascontiguousarray(np.packbits(2 * ones > counts[full, None], axis=1, bitorder="little")).view(np.uint64)[:, 0]
-        start = end
-    return out
+    ones = np.zeros((len(texts), scheme.bits), np.int64)
+    counts = np.zeros(len(texts), np.int64)
+    held, rows, size = [], [], 0
+
+    def add():
+        """Count the bits of what is held, by text."""
+        sizes = np.array([len(h) for h in held])
+        begins = np.cumsum(sizes) - sizes
+        hashes = np.concatenate(held)
+        for word in range(scheme.bits // 64):
+            bits = np.unpackbits(_mix(hashes, word).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            np.add.at(ones[:, 64 * word:64 * word + 64], rows, np.add.reduceat(bits, begins, axis=0, dtype=np.int32))
+        np.add.at(counts, rows, sizes)
+
+    for row, text in enumerate(texts):
+        for own in shingle_hashes(text, scheme.words):
+            held.append(own)
+            rows.append(row)
+            size += len(own)
+            if size >= CHUNK:
+                add()
+                held, rows, size = [], [], 0
+    if held:
+        add()
+    return np.packbits(2 * ones > counts[:, None], axis=1, bitorder="little").view(np.uint64)
 
 
 def _code_batches(batches: Iterator, scheme: Scheme):
@@ -219,26 +213,6 @@ def _linked(scheme: Scheme, table):
     return pa.RecordBatch.from_arrays([pa.array(doc[a]), pa.array(doc[b])], names=["a", "b"])
 
 
-def _run_batches(batches: Iterator, linked):
-    """`linked` of whole runs, in a stream sorted by `run`."""
-    import numpy as np
-    import pyarrow as pa
-
-    held = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        held = pa.concat_tables([held, table]) if held is not None else table
-        run = held.column("run").to_numpy()
-        if not len(run):
-            continue
-        last = int(np.searchsorted(run, run[-1]))  # the last run may go on in the next batch
-        if last:
-            yield linked(held.slice(0, last).combine_chunks())
-            held = held.slice(last)
-    if held is not None and held.num_rows:
-        yield linked(held.combine_chunks())
-
-
 def _met(nodes: DataFrame, make, schema: str, linked) -> DataFrame:
     """Links (a, b) that `linked` finds among rows of equal key; `make` gives the rows of a batch of nodes, or only their keys."""
     keys = nodes.mapInArrow(partial(make, only_keys=True), "key long")
@@ -255,7 +229,7 @@ def _met(nodes: DataFrame, make, schema: str, linked) -> DataFrame:
     else:
         rows = rows.withColumn("run", F.col("key"))
     rows = rows.select("run", *columns).repartition("run").sortWithinPartitions("run", "doc")
-    return rows.mapInArrow(partial(_run_batches, linked=linked), "a long, b long").distinct()
+    return rows.mapInArrow(partial(run_batches, linked=linked), "a long, b long").distinct()
 
 
 def similar_pairs(nodes: DataFrame, scheme: Scheme) -> DataFrame:
@@ -298,184 +272,27 @@ def components(links: DataFrame) -> DataFrame:
     return ends.unionByName(ends.select(F.col("component").alias("node"), "component").distinct())
 
 
-def _set_batches(batches: Iterator, scheme: Scheme):
-    """Rows with a hash and the size of their text's set of shingles, the code, and the hashes that are its keys."""
-    import numpy as np
-    import pyarrow as pa
-    import xxhash
-
-    for batch in batches:
-        sets: list = []
-        made = codes([t or b"" for t in batch.column(batch.num_columns - 1).to_pylist()], scheme, sets)
-        node = np.array([xxhash.xxh64_intdigest(s.tobytes(), 7) for s in sets], np.uint64)
-        keys = [s[:len(s) + 1 - -(-scheme.similarity * len(s) // 100)].tobytes() if len(s) else b"" for s in sets]
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], pa.array(node.view(np.int64)), pa.array([len(s) for s in sets], pa.int32()), pa.array([r.tobytes() for r in made], pa.binary()), pa.array(keys, pa.binary())],
-            names=[*batch.schema.names[:-1], "node", "size", "code", "keys"])
-
-
-def _key_batches(batches: Iterator, only_keys: bool):
-    import numpy as np
-    import pyarrow as pa
-
-    for batch in batches:
-        for at in range(0, batch.num_rows, 100):
-            part = batch.slice(at, 100)
-            keys = part.column("keys").to_pylist()
-            key = pa.array(np.frombuffer(b"".join(keys), np.int64))
-            if only_keys:
-                yield pa.RecordBatch.from_arrays([key], names=["key"])
-            else:
-                row = pa.array(np.repeat(np.arange(part.num_rows), [len(k) // 8 for k in keys]))
-                yield pa.RecordBatch.from_arrays([key, *(part.column(c).take(row) for c in ("size", "class", "doc", "code"))], names=["key", "size", "class", "doc", "code"])
-
-
-def _tree(near) -> Iterator[tuple[int, int]]:
-    """Near pairs that span the components of a matrix. Members found from one row are linked in a chain where that is possible,
-    so that no row stands in most of the links."""
-    import numpy as np
-
-    left = np.ones(len(near), bool)
-    for root in range(len(near)):
-        front = [root] if left[root] else []
-        left[root] = False
-        for parent in front:
-            found = np.flatnonzero(near[parent] & left)
-            left[found] = False
-            front += found.tolist()
-            last = parent
-            for j in found.tolist():
-                yield (last if near[last, j] else parent), j
-                last = j
-
-
-def _alike(scheme: Scheme, every: bool, table):
-    """Links (a, b) among rows of equal `run` and different class whose sizes and codes do not rule the similarity out: all of
-    them, or as many as it takes to connect them."""
-    import numpy as np
-    import pyarrow as pa
-
-    run, doc, own = (table.column(c).to_numpy() for c in ("run", "doc", "class"))
-    size = table.column("size").to_numpy().astype(np.int64)
-    code = _matrix(table.column("code"), scheme.bits // 64)
-
-    def near(i, j):
-        ok = (own[i] != own[j]) & (100 * np.minimum(size[i], size[j]) >= scheme.similarity * np.maximum(size[i], size[j]))
-        at = np.nonzero(ok)
-        a, b = (i[at], j[at]) if ok.ndim == 1 else (i[at[0], 0], j[0, at[1]])
-        ok[at] = np.bitwise_count(code[a] ^ code[b]).sum(axis=-1) <= scheme.radius
-        return ok
-
-    begins = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
-    sizes = np.diff(np.concatenate([begins, [len(run)]]))
-    small = np.repeat(sizes <= SMALL_RUN, sizes)
-    a, b = [], []
-    for d in range(1, SMALL_RUN):
-        i = np.flatnonzero((run[d:] == run[:-d]) & small[d:]) if d < len(run) else np.empty(0, np.int64)
-        i = i[near(i, i + d)]
-        a.append(i)
-        b.append(i + d)
-    for at, n in zip(begins[sizes > SMALL_RUN], sizes[sizes > SMALL_RUN]):
-        rows = np.arange(at, at + n)
-        matrix = np.concatenate([near(rows[i:i + 256, None], rows[None, :]) for i in range(0, n, 256)])
-        found = np.argwhere(np.triu(matrix)) if every else np.array(list(_tree(matrix)), np.int64).reshape(-1, 2)
-        a.append(found[:, 0] + at)
-        b.append(found[:, 1] + at)
-    a, b = doc[np.concatenate(a)], doc[np.concatenate(b)]
-    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)  # copies meet under many keys
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
-
-def _hashed_sets(batches: Iterator, scheme: Scheme):
-    import numpy as np
-    import pyarrow as pa
-
-    for batch in batches:
-        sets = [np.unique(np.array(shingle_hashes(t or b"", scheme.words), np.uint64)).tobytes() for t in batch.column("_text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "set"])
-
-
-def _agreeing(batches: Iterator, scheme: Scheme):
-    """The pairs whose sets have the similarity."""
-    import numpy as np
-    import pyarrow as pa
-
-    for batch in batches:
-        kept = []
-        for a, b in zip(batch.column("set_a"), batch.column("set_b")):
-            a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (a, b))
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            kept.append(100 * both >= scheme.similarity * (len(a) + len(b) - both))
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(kept, pa.bool_()))
-
-
-def _agreed(pairs: DataFrame, texts: DataFrame, scheme: Scheme) -> DataFrame:
-    """The pairs whose texts' sets of shingles have the similarity; `texts` has node and the text of one row of each."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = materialise(texts(ends).mapInArrow(partial(_hashed_sets, scheme=scheme), "node long, set binary"), "shingle-sets")
-    first = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
-    both = first.join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b").select("a", "b", "set_a", "set_b")
-    return materialise(both.mapInArrow(partial(_agreeing, scheme=scheme), "a long, b long"), "agreed-links")
-
-
-def near_texts(docs: DataFrame, scheme: Scheme = NEAR, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row for every input row: key, code and the class: component_id (its smallest key), and kept_text, a hash of the text that
-    stands for the class: of the smallest key's, or of all texts if no row has a key, the one of the smallest hash.
-
-    A class is what is reachable over pairs of texts whose sets of shingles share `similarity` percent of their union. Texts of
-    equal sets are one node, named by a 64-bit hash of the set; texts without a word are one class.
-
-    Two rounds settle the links. The first tests a tree of each group of candidates. Where that leaves a group in parts, the second
-    tests every candidate pair between two parts, so a wrong link in a tree hides no right one.
-    """
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.xxhash64(F.col(f"`{text}`").cast("binary")).alias("text_hash"), F.col(f"`{text}`").cast("binary").alias("_text"))
-    made = materialise(rows.mapInArrow(partial(_set_batches, scheme=scheme), "doc long, text_hash long, node long, size int, code binary, keys binary"), "shingle-keys")
-    place = F.struct(F.col("doc").isNull().alias("none"), "doc", "text_hash")
-    nodes = made.groupBy("node").agg(F.min(place).alias("place"), F.first("size").alias("size"), F.first("code").alias("code"), F.first("keys").alias("keys"))
-    nodes = materialise(nodes, "set-nodes")
-
-    def texts(ends: DataFrame) -> DataFrame:
-        wanted = nodes.join(ends, "node").select("node", "place.doc", "place.text_hash")
-        return rows.join(wanted, rows["doc"].eqNullSafe(wanted["doc"]) & (rows["text_hash"] == wanted["text_hash"])).select("node", "_text").dropDuplicates(["node"])
-
-    def candidates(some: DataFrame, every: bool) -> DataFrame:
-        some = some.select(F.col("node").alias("doc"), "size", "class", "code", "keys")
-        return materialise(_met(some, _key_batches, "size int, class long, doc long, code binary", partial(_alike, scheme, every)), "candidates")
-
-    tried = candidates(nodes.withColumn("class", F.col("node")), False)
-    agreed = _agreed(tried, texts, scheme)
-    parts = components(agreed).withColumnRenamed("component", "class")
-    groups = components(tried)
-    members = materialise(groups.join(parts, "node", "left").select("node", "component", F.coalesce("class", "node").alias("class")), "parts")
-    split = members.groupBy("component").agg(F.min("class").alias("low"), F.max("class").alias("high")).where(F.col("low") != F.col("high"))
-    open_nodes = materialise(members.join(split.select("component"), "component", "left_semi").join(nodes, "node").select("node", "size", "class", "code", "keys"), "open-nodes")
-    if open_nodes.limit(1).count():
-        again = candidates(open_nodes, True).join(tried, ["a", "b"], "left_anti")
-        links = agreed.unionByName(_agreed(materialise(again, "open-pairs"), texts, scheme))
-        parts = components(links).withColumnRenamed("component", "class")
-    named = nodes.join(parts, "node", "left").select("node", "place", F.coalesce("class", "node").alias("class"))
-    named = materialise(named, "named-nodes")
-    best = named.groupBy("class").agg(F.min("place").alias("best"))
-    named = named.join(best, "class").select("node", F.col("best.doc").alias("component_id"), F.col("best.text_hash").alias("kept_text"))
-    return made.join(named, "node").select(F.col("doc").alias(key), "code", "component_id", "kept_text")
-
-
 def near_duplicates(docs: DataFrame, scheme: Scheme = LINKS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row for every input row: key, code (binary, the 64-bit words little-endian) and component_id.
+    """A row for every input row: key, code (binary, the 64-bit words little-endian), component_id, group_id and text_hash.
 
-    component_id is the smallest key reachable over links between codes, the row's own included. Rows of equal code are one
-    node, whatever their number. A null text counts as empty; texts without a word share the code 0, which is linked like any
-    other. A row with a null key belongs to its code's class and is never its smallest key; a class without keys is null.
-    Other columns are not read. An empty table gives no rows. A scheme with a similarity links texts by their sets instead.
+    component_id is the smallest key reachable over links between codes, the row's own included; group_id names the same component
+    whether or not any of its rows has a key. Rows of equal code are one node, whatever their number. A null text counts as empty;
+    texts without a word share the code 0, which is linked like any other. A row with a null key is never the smallest key; a
+    component without keys has none. text_hash is a 64-bit hash of the text. Other columns are not read. An empty table gives no rows.
     """
-    if scheme.similarity is not None:
-        return near_texts(docs, scheme, key, text).drop("kept_text")
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("binary").alias("_text"))
-    rows = materialise(rows.mapInArrow(partial(_code_batches, scheme=scheme), "doc long, code binary"), "codes")
-    nodes = materialise(rows.groupBy("code").agg(F.min("doc").alias("doc")), "code-nodes")
-    classes = components(similar_pairs(nodes.where(F.col("doc").isNotNull()).select("doc", "code"), scheme))
-    named = nodes.join(classes, nodes["doc"] == classes["node"], "left").select("code", F.coalesce("component", "doc").alias("component_id"))
-    return rows.join(named, "code").select(F.col("doc").alias(key), "code", "component_id")
+    raw = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
+    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.xxhash64(raw).alias("text_hash"), raw.alias("_text"))
+    rows = materialise(rows.mapInArrow(partial(_code_batches, scheme=scheme), "doc long, text_hash long, code binary"), "codes")
+    # A code of 64 bits is its node's number, longer ones are hashed.
+    number = (F.conv(F.hex("code"), 16, 10).cast("decimal(20,0)") - F.lit(1 << 63).cast("decimal(20,0)")).cast("long") if scheme.bits == 64 else F.xxhash64("code")
+    nodes = materialise(rows.groupBy("code").agg(F.min("doc").alias("doc")).withColumn("node", number), "code-nodes")
+    classes = components(similar_pairs(nodes.select(F.col("node").alias("doc"), "code"), scheme))
+    named = nodes.join(classes, "node", "left").select("code", "doc", F.coalesce("component", "node").alias("group_id"))
+    named = materialise(named, "named-codes")
+    # Most components are one code; the smallest key of the others is a join of their few rows.
+    least = named.groupBy("group_id").agg(F.min("doc").alias("component_id"), F.count("*").alias("n")).where(F.col("n") > 1).drop("n")
+    named = named.join(least, "group_id", "left").select("code", F.coalesce("component_id", "doc").alias("component_id"), "group_id")
+    return rows.join(named, "code").select(F.col("doc").alias(key), "code", "component_id", "group_id", "text_hash")
 
 
 def fingerprint_hex(code: Column) -> Column:
