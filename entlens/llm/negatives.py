@@ -197,11 +197,13 @@ def hard_negatives(vectors: DataFrame, anchors: Column, key: str = "vec_id", vec
     cells, blocks = max(parallel, -(-counts["n"] // CELL_ROWS)), max(1, -(-counts["a"] // CELL_ANCHORS))
     asked = rows.where("is_anchor").drop("is_anchor")
     every = F.array(F.struct(F.lit(0).alias("band"), F.lit(None).cast("long").alias("positive_id"), F.lit(None).cast("long").alias("positive_score"), F.lit(LEAST).cast("long").alias("low"), F.lit(MOST).alias("high")))
-    found = _search(asked.withColumn("bands", every.cast(BANDS)), rows, cells, blocks, positives, True, scale)
+    # A table of its own: the two sides of the cells must not be columns of one plan.
+    asked = materialise(asked.withColumn("bands", every.cast(BANDS)), "mining-questions")
+    found = _search(asked, rows, cells, blocks, positives, True, scale)
     score = F.col("score").cast("decimal(20,0)")
     band = F.struct(F.col("rank").cast("int").alias("band"), F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"),
                     F.ceil(score * low / 100).cast("long").alias("low"), F.floor(score * high / 100).cast("long").alias("high"))
     bands = found.groupBy("anchor").agg(F.sort_array(F.collect_list(band)).cast(BANDS).alias("bands"))  # `positives` of them at most
-    asked = materialise(asked.join(bands, F.col("row") == F.col("anchor")).drop("anchor"), "mining-anchors")
+    asked = materialise(asked.drop("bands").join(bands, F.col("row") == F.col("anchor")).drop("anchor"), "mining-anchors")
     mined = _search(asked, rows, cells, blocks, negatives, False, scale)
     return mined.select("anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), F.col("vec_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))

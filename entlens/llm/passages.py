@@ -32,8 +32,8 @@ from entlens.llm.common import pieces, run_batches
 from entlens.session import materialise
 
 WINDOW = 20
-GROUP_BYTES = 16_000_000
-PIECE_WORDS = 300_000
+GROUP_BYTES = 5_000_000
+PIECE_WORDS = 100_000
 #: The number of the word where a symbol starts, its round and the side of its context make a place.
 LEVEL_BITS, SIDE_BITS = 5, 1
 FAR = 1 << 40

@@ -284,7 +284,7 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = LINKS, key: str = "doc_id"
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.xxhash64(raw).alias("text_hash"), raw.alias("_text"))
     rows = materialise(rows.mapInArrow(partial(_code_batches, scheme=scheme), "doc long, text_hash long, code binary"), "codes")
     # A code of 64 bits is its node's number, longer ones are hashed.
-    number = (F.conv(F.hex("code"), 16, 10).cast("decimal(20,0)") - F.lit(1 << 63).cast("decimal(20,0)")).cast("long") if scheme.bits == 64 else F.xxhash64("code")
+    number = (F.conv(F.hex("code"), 16, 10).cast("decimal(20,0)") - F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("long") if scheme.bits == 64 else F.xxhash64("code")
     nodes = materialise(rows.groupBy("code").agg(F.min("doc").alias("doc")).withColumn("node", number), "code-nodes")
     classes = components(similar_pairs(nodes.select(F.col("node").alias("doc"), "code"), scheme))
     named = nodes.join(classes, "node", "left").select("code", "doc", F.coalesce("component", "node").alias("group_id"))

@@ -160,8 +160,11 @@ def test_hard_negatives_by_all_pairs(spark, monkeypatch, bucket, spread):
 
 
 def test_hard_negatives_of_large_values(spark):
-    big = 2.0 ** 40
+    big = 2.0 ** 28  # products beyond what doubles hold exactly
     rows = [(0, 1, [big, 1.0]), (1, 1, [big, 3.0]), (2, 2, [big * 0.75, 5.0]), (3, 2, [big * 0.75, 7.0]), (4, 2, [1.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
-    got = sorted(tuple(r) for r in negatives.hard_negatives(df, F.col("vec_id") == 0, scale=1).collect())
-    assert [(r[3], r[5]) for r in got] == [(3, int(big) ** 2 * 3 // 4 + 7), (2, int(big) ** 2 * 3 // 4 + 5)] if int(big) ** 2 < 2 ** 63 else got
+    got = [tuple(r) for r in negatives.hard_negatives(df, F.col("vec_id") == 0, scale=1).orderBy("rank").collect()]
+    most = int(big) ** 2
+    assert got == [(0, 1, 1, 3, most + 3, most * 3 // 4 + 7), (0, 1, 2, 2, most + 3, most * 3 // 4 + 5)]
+    beyond = df.withColumn("embedding", F.transform("embedding", lambda x: x * 4096))
+    assert negatives.hard_negatives(beyond, F.col("vec_id") == 0, scale=1).collect() == []  # all scores count as the largest long

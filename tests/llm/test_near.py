@@ -1,97 +1,78 @@
-"""Near copies by sets of five words against all pairs."""
+"""The near-copy and mixing stages against plain Python, with ids on several texts, clashing columns and dotted names."""
+
+from collections import Counter
 
 import numpy as np
-import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from entlens.llm import simhash
-from tests_llm_data import make
-
-
-def shingles(text):
-    w = text.lower().split()
-    return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
-
-
-def similarity(a, b):
-    a, b = shingles(a), shingles(b)
-    return len(a & b) / len(a | b) if a | b else 1.0
-
-
-def fresh(rng, n):
-    return [f"w{x}" for x in rng.integers(0, 10**9, n)]
-
-
-def pairs_of(rng, n, shared):
-    """Two texts of n shingles that share `shared` of them."""
-    own = fresh(rng, n + 4)
-    return " ".join(own), " ".join(own[:shared + 4] + fresh(rng, n - shared))
-
-
-def found(spark, texts):
-    docs = make(spark, list(enumerate(texts)))
-    return {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, simhash.NEAR).collect()}
-
-
-def test_every_pair_at_the_threshold(spark):
-    rng = np.random.default_rng(11)
-    texts = [t for n, shared in [(9, 8), (18, 16), (60, 54), (300, 267), (2000, 1778)] for _ in range(40) for t in pairs_of(rng, n, shared)]
-    texts += [t for _ in range(40) for t in (lambda w: (" ".join(w), " ".join(w[:8])))(fresh(rng, 9))]  # sets of 5 and 4
-    assert all(0.8 <= similarity(texts[i], texts[i + 1]) < 0.82 for i in range(0, len(texts), 2))
-    got = found(spark, texts)
-    assert [i for i in range(0, len(texts), 2) if got[i + 1] != i] == []
-
-
-def test_no_pair_below_the_threshold(spark):
-    rng = np.random.default_rng(12)
-    texts = [t for shared in (53, 50, 48, 45, 40) for _ in range(20) for t in pairs_of(rng, 60, shared)]
-    texts += [t for shared in (266, 255, 240, 225) for _ in range(20) for t in pairs_of(rng, 300, shared)]
-    assert all(0.45 < similarity(texts[i], texts[i + 1]) < 0.8 for i in range(0, len(texts), 2))
-    assert all(node == component for node, component in found(spark, texts).items())
-
-
-@pytest.mark.parametrize("block", [simhash.BLOCK, 20])
-def test_classes_of_groups_are_those_of_all_pairs(spark, monkeypatch, block):
-    """Groups whose copies are near the first text but not each other, chains, and passages that many texts share."""
-    monkeypatch.setattr(simhash, "BLOCK", block)
-    rng = np.random.default_rng(13)
-    texts = []
-    for _ in range(3):
-        base = fresh(rng, 204)
-        texts.append(" ".join(base))
-        for _ in range(25):
-            own, r, at = list(base), int(rng.integers(10, 22)), int(rng.integers(0, 180))
-            own[at:at + r] = fresh(rng, len(own[at:at + r]))
-            texts.append(" ".join(own))
-    step = fresh(rng, 104)
-    for _ in range(15):
-        step = step[8:] + fresh(rng, 8)
-        texts.append(" ".join(step))
-    passage = fresh(rng, 150)
-    texts += [" ".join(passage + fresh(rng, int(rng.integers(20, 60)))) for _ in range(40)]
-    texts += ["one two", "one two", "One  two", "one", "", " \n"]
-    order = rng.permutation(len(texts))
-    texts = [texts[i] for i in order]
-    parent = list(range(len(texts)))
-
-    def top(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    for i in range(len(texts)):
-        for j in range(i):
-            if similarity(texts[i], texts[j]) >= 0.8:
-                a, b = top(i), top(j)
-                parent[max(a, b)] = min(a, b)
-    assert found(spark, texts) == {i: top(i) for i in range(len(texts))}
-
-
-def test_one_of_each_class_stays(spark, tmp_path):
+from entlens.llm import mixing, simhash
+from test_learned import classes, code
+from tests_llm_data import ODD, make
+
+
+def copies(rng, n, words, changed):
+    """Texts and copies with a few words changed."""
+    out = []
+    for _ in range(n):
+        own = [f"w{x}" for x in rng.integers(0, 10**6, words)]
+        out.append(" ".join(own))
+        for _ in range(3):
+            other = list(own)
+            for i in rng.integers(0, words, changed):
+                other[i] = f"w{rng.integers(0, 10**6)}"
+            out.append(" ".join(other))
+    return out
+
+
+def test_one_of_each_group_stays(spark, tmp_path):
     rng = np.random.default_rng(14)
-    near = [pairs_of(rng, 60, 58) for _ in range(4)]
-    other = " ".join(fresh(rng, 64))
-    rows = [(1, near[0][0]), (2, near[0][1]), (2, other), (None, near[1][0]), (None, near[1][1]), (None, near[2][0]), (5, near[2][1]), (6, near[3][0]), (6, near[3][1]), (7, other), (1, near[0][0])]
-    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, make(spark, rows), str(tmp_path)).collect()]
-    assert len(kept) == 5 and {(1, near[0][0]), (2, other), (5, near[2][1])} <= set(kept)
-    assert sum(i is None and t in near[1] for i, t in kept) == 1 and sum(i == 6 and t in near[3] for i, t in kept) == 1
+    texts = copies(rng, 12, 300, 1) + copies(rng, 4, 1500, 2)
+    rows = [(int(i), t) for i, t in zip(rng.permutation(len(texts)), texts)] + [(500, ""), (501, None), (None, texts[0]), (None, "only here of all texts"), (None, "Only here OF all texts"), (3, texts[5]), (3, texts[5])] + ODD
+    docs = make(spark, rows).withColumn("group_id", F.lit("own")).withColumn("a.b", F.lit(1)).withColumn("none", F.lit(2))
+    out = corpus_pipeline.near_dedup(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    got = Counter((r.doc_id, r.text or "") for r in out.collect())
+    codes = {t: code(t, 3) for t in {t or "" for _, t in rows}}
+    names = list(codes)
+    group = classes({i: codes[t] for i, t in enumerate(names)}, lambda a, b: (a ^ b).bit_count() <= 2)
+    group = {t: group[i] for i, t in enumerate(names)}
+    assert sum(got.values()) == len(set(group.values())) and set(got.values()) == {1}
+    for g in set(group.values()):
+        own = [(i, t or "") for i, t in rows if group[t or ""] == g]
+        kept, = [x for x in got if group[x[1]] == g]
+        ids = [i for i, _ in own if i is not None]
+        assert kept in own and kept[0] == (min(ids) if ids else None)
+    many = Counter(group[t] for t in texts)
+    assert len(many) < len(texts)  # some copies are within the distance
+
+
+def test_a_very_long_text_in_pieces():
+    text = " ".join(f"Word{i % 977} x" for i in range(400_000)).encode()
+    whole, = simhash.codes([text], simhash.LINKS)
+    parts = np.concatenate(list(simhash.shingle_hashes(text, 3)))
+    assert len(parts) == 800_000 - 2
+    sample = [(2 * sum(int(h) >> b & 1 for h in parts) > len(parts)) for b in (0, 17, 63)]
+    assert sample == [bool(int(whole[0]) >> b & 1) for b in (0, 17, 63)]
+
+
+def test_rows_are_drawn_by_their_own_cell(spark):
+    rows = [(i % 400, f"{'licensed text ' if i % 3 else 'plain words '}{'x ' * (i % 50)}") for i in range(1200)] + ODD
+    docs = make(spark, rows).withColumn("a.b", F.lit(1)).withColumn("probability", F.lit("own")).withColumn("row", F.lit(5))
+    out = mixing.draw_documents(docs)
+    assert out.columns == docs.columns
+    want = Counter((r.doc_id, r.topic, r.tokens) for r in mixing.mix_documents(docs).where("drawn").collect())
+    got = Counter((r.doc_id, r.t, r.n) for r in out.select("doc_id", mixing.topic(F.col("text")).alias("t"), mixing.tokens(F.col("text")).alias("n")).collect())
+    assert got == want and 0 < sum(got.values()) < len(rows)
+    assert mixing.draw_documents(docs.limit(0)).count() == 0
+
+
+def test_stages_keep_clashing_columns(spark, tmp_path):
+    rows = [(1, " ".join(f"word{i}" for i in range(80)) + "\nA shared line of text here"), (2, " ".join(f"other{i}" for i in range(80)) + "\nA shared line of text here"), (3, "short")]
+    docs = make(spark, rows).select("*", F.lit("a").alias("n_words"), F.lit("b").alias("failed"), F.lit("c").alias("n_lines"), F.lit("d").alias("n_dropped"), F.lit("e").alias("a.b"))
+    ruled = corpus_pipeline.quality_rules(spark, docs, str(tmp_path))
+    lined = corpus_pipeline.line_dedup(spark, ruled, str(tmp_path))
+    assert ruled.columns == lined.columns == docs.columns
+    got = {r.doc_id: r for r in lined.collect()}
+    assert set(got) == {1, 2} and all((r.n_words, r.failed, r.n_lines, r.n_dropped, r["a.b"], r.kept) == ("a", "b", "c", "d", "e", None) for r in got.values())
+    assert got[2].text == rows[1][1].split("\n")[0] and got[2].n_chars == len(got[2].text)
