@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from entlens.llm import bpe, linededup, mixing, quality, simhash
 from entlens.session import materialise
@@ -11,42 +11,51 @@ from entlens.session import materialise
 TOKENIZER = "byte_bpe_50k.tiktoken"
 
 
+def _columns(docs: DataFrame, *but: str) -> list[Column]:
+    """The columns as they are named, whatever their names hold."""
+    return [F.col(f"`{c}`") for c in docs.columns if c not in but]
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the policy rejects go. A null text has too few words and goes too."""
-    return quality.apply_policy(docs).where("kept").select(*docs.columns)
+    # All columns travel as one, so that none is taken for a measure of the operator.
+    rows = quality.apply_policy(docs.select("text", F.struct(*_columns(docs)).alias("row")))
+    return rows.where("kept").select("row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in an earlier document are cut from the text; n_chars follows. Every document stays, if only as an empty text."""
-    cut = linededup.dedup_lines(docs)
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    cut = linededup.dedup_lines(docs.select("doc_id", "text", F.struct(*_columns(docs, "doc_id", "text")).alias("row")))
+    own = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return cut.select(*[own[c].alias(c) if c in own else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies (five-word shingles, similarity of 0.8 or more) one document stays: that of the smallest id, or,
-    where no row of the class has an id, that of the smallest hash of the text.
+    """Of each group of near copies one document stays: that of the smallest id, or, where no row of the group has an id, that of the
+    smallest hash of the text. Groups are those of the operator's shingle length and bit distance.
 
     Rows alike in id and text are one document. An id on several texts counts with each of them on its own.
     """
-    classes = simhash.near_texts(docs, simhash.NEAR)
-    stay = materialise(classes.select(F.col("component_id").alias("_id"), F.col("kept_text").alias("_hash")).distinct(), "kept-copies")
-    rows = docs.withColumn("_text", F.xxhash64(F.col("text").cast("binary")))
-    kept = rows.join(stay, rows["doc_id"].eqNullSafe(stay["_id"]) & (rows["_text"] == stay["_hash"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_text"]).select(*docs.columns)
+    groups = simhash.near_duplicates(docs, simhash.LINKS)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("doc"), "text_hash"))
+    stay = materialise(groups.groupBy("group_id").agg(best.alias("best")).select("best.*"), "kept-copies")
+    raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    rows = docs.select(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).cast("long").alias("doc"), F.xxhash64(raw).alias("text_hash"), F.struct(*_columns(docs)).alias("row"))
+    # Alike rows are combined in their tasks first; the join then finds them dealt by the same columns.
+    keys = ["none", "doc", "text_hash"]
+    return rows.dropDuplicates(keys).join(stay, keys, "left_semi").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the calibrated draw leaves out go. The draw goes by id: a row without one is drawn by its cell's probability
-    against one number for all such rows."""
-    drawn = mixing.mix_documents(docs).where("drawn").select("doc_id").distinct()
-    drawn = materialise(drawn, "drawn")
-    return docs.join(drawn, docs["doc_id"].eqNullSafe(drawn["doc_id"]), "left_semi").select(*docs.columns)
+    """Documents that the calibrated draw leaves out go: each row is drawn by the probability of its own cell. Rows of one id meet the
+    same number, all rows without one too."""
+    return mixing.draw_documents(docs)
 
 
 def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether decoding them gives the text's bytes back."""
-    coded = bpe.encode_decode(docs.withColumn("_utf8", F.sha2(F.col("text").cast("binary"), 256)), public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN,
-                              keep=["doc_id", "lang", "source", "_utf8"])
+    own = docs.select("doc_id", "lang", "source", "text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("_utf8"))
+    coded = bpe.encode_decode(own, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN, keep=["doc_id", "lang", "source", "_utf8"])
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.sha2("decoded", 256) == F.col("_utf8")).alias("round_trip"))
 
 
