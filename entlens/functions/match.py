@@ -67,6 +67,17 @@ def text_keys(text: Column | str, max_parts: int) -> Column:
     return F.filter(let(runs, grams), lambda k: k.isNotNull() & (k != "|"))
 
 
+def loose_parts(text: Column | str, lengths: list[int]) -> Column:
+    """Distinct pieces of the given lengths of what stands between the letters, digits and separators of a text."""
+    runs = F.filter(F.split(F.lower(_col(text)), rf"[a-z0-9{WS}\-]+"), lambda r: r != "")
+
+    def pieces(r: Column) -> Column:
+        return F.flatten(F.array(*[F.when(F.length(r) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.length(r) - n + 1, F.lit(1))), lambda i: F.substring(r, i, F.lit(n)))).otherwise(
+            F.array().cast("array<string>")) for n in lengths]))
+
+    return F.array_distinct(F.flatten(F.transform(runs, pieces)))
+
+
 def split_sentences(text: Column | str) -> Column:
     return F.filter(F.transform(F.split(_col(text), SENTENCE_BREAK), strip), lambda s: s != "")
 

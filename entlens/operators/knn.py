@@ -20,30 +20,41 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.vstack([np.asarray(v, dtype=np.float64) for v in column])
 
 
-def _pairwise(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Distances by differences, in slices that bound the memory."""
+def _frame(id_col: str, columns: dict) -> pd.DataFrame:
+    """Ids as plain objects: text in pandas' own string type does not go back to Arrow in one piece."""
+    return pd.DataFrame({c: pd.Series(list(v), dtype=object) if c in (id_col, "query", "neighbour") else v for c, v in columns.items()})
+
+
+def _pairwise(a: np.ndarray, b: np.ndarray, p: int = 2) -> np.ndarray:
+    """Distances by differences, in slices that bound the memory: Euclidean, or Manhattan for p = 1."""
     out = np.empty((len(a), len(b)))
     step = max(1, 4_000_000 // max(1, b.size))
     for i in range(0, len(a), step):
-        out[i : i + step] = np.sqrt(((a[i : i + step, None, :] - b[None, :, :]) ** 2).sum(axis=2))
+        apart = a[i : i + step, None, :] - b[None, :, :]
+        out[i : i + step] = np.abs(apart).sum(axis=2) if p == 1 else np.sqrt((apart ** 2).sum(axis=2))
     return out
 
 
 def k_nearest(queries: DataFrame, train: DataFrame, k: int, id_col: str = "id", vector_col: str = "embedding",
-              n_pivots: int = 64, seed: int = 42) -> DataFrame:
-    """(query, neighbour, distance): the k nearest training rows, the smaller id on a tie; a row is not its own neighbour."""
+              n_pivots: int = 64, seed: int = 42, p: int = 2) -> DataFrame:
+    """(query, neighbour, distance): the k nearest training rows, the smaller id on a tie; a row is not its own neighbour.
+
+    `p` is 2 for Euclidean and 1 for Manhattan distances; the triangle inequality holds for both.
+    """
+    if p not in (1, 2):
+        raise ValueError("p is 1 or 2")
     pivot_rows = train.withColumn("_d", F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))).orderBy("_d", id_col).limit(n_pivots)
     pivots = _matrix(pd.Series([r[0] for r in pivot_rows.select(vector_col).collect()]))  # at most n_pivots rows
-    id_type = train.schema[id_col].dataType.simpleString()
+    id_type, vector_type = (train.schema[c].dataType.simpleString() for c in (id_col, vector_col))
 
     def assign(frames):
         for f in frames:
             if len(f):
-                d = _pairwise(_matrix(f[vector_col]), pivots)
+                d = _pairwise(_matrix(f[vector_col]), pivots, p)
                 best = d.argmin(axis=1)
-                yield pd.DataFrame({id_col: f[id_col], vector_col: f[vector_col], "cell": best.astype(np.int32), "reach": d[np.arange(len(d)), best]})
+                yield _frame(id_col, {id_col: f[id_col], vector_col: f[vector_col], "cell": best.astype(np.int32), "reach": d[np.arange(len(d)), best]})
 
-    cells = train.select(id_col, vector_col).mapInPandas(assign, f"{id_col} {id_type}, {vector_col} array<float>, cell int, reach double")
+    cells = train.select(id_col, vector_col).mapInPandas(assign, f"{id_col} {id_type}, {vector_col} {vector_type}, cell int, reach double")
     sized = cells.groupBy("cell").agg(F.count("*").alias("rows"), F.max("reach").alias("radius"))
     stats = materialise(sized, "knn-cells")
     summary = [(r["cell"], r["rows"], r["radius"]) for r in stats.collect()]  # at most n_pivots rows
@@ -58,7 +69,7 @@ def k_nearest(queries: DataFrame, train: DataFrame, k: int, id_col: str = "id",
         for f in frames:
             if not len(f):
                 continue
-            d = _pairwise(_matrix(f[vector_col]), pivots[order])
+            d = _pairwise(_matrix(f[vector_col]), pivots[order], p)
             rank = np.argsort(d, axis=1, kind="stable")
             enough = np.cumsum(counts[rank], axis=1) > k
             stop = np.where(enough.any(axis=1), enough.argmax(axis=1), len(order) - 1)
@@ -67,9 +78,9 @@ def k_nearest(queries: DataFrame, train: DataFrame, k: int, id_col: str = "id",
             keep = d - radius[None, :] <= bound[:, None] + 1e-9
             rows = [(q, v, int(order[j]), b) for i, (q, v) in enumerate(zip(f[id_col], f[vector_col]))
                     for j in np.flatnonzero(keep[i]) for b in range(blocks[int(order[j])])]
-            yield pd.DataFrame(rows, columns=[id_col, vector_col, "cell", "block"])
+            yield _frame(id_col, {c: [r[i] for r in rows] for i, c in enumerate([id_col, vector_col, "cell", "block"])})
 
-    asks = queries.select(id_col, vector_col).mapInPandas(home, f"{id_col} {id_type}, {vector_col} array<float>, cell int, block int")
+    asks = queries.select(id_col, vector_col).mapInPandas(home, f"{id_col} {id_type}, {vector_col} {vector_type}, cell int, block int")
     asks = materialise(asks, "knn-asks")
     # The queries of a block are cut into parts of bounded size too; a block is repeated only as often as it has parts,
     # and a block that nobody asks for is dropped.
@@ -79,15 +90,14 @@ def k_nearest(queries: DataFrame, train: DataFrame, k: int, id_col: str = "id",
         "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
 
     def nearest(key, ask: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query": [], "neighbour": [], "distance": []})
         if not len(ask) or not len(rows):
-            return empty
+            return _frame(id_col, {"query": [], "neighbour": [], "distance": np.empty(0)})
         ids, matrix, out = rows[id_col].to_numpy(), _matrix(rows[vector_col]), []
         for q, v in zip(ask[id_col], ask[vector_col]):
-            d = np.sqrt(((matrix - np.asarray(v, dtype=np.float64)) ** 2).sum(axis=1))
+            d = _pairwise(np.asarray(v, dtype=np.float64)[None, :], matrix, p)[0]
             pick = np.lexsort((ids, d))[: k + 1]
             out += [(q, ids[i], d[i]) for i in pick if ids[i] != q][:k]
-        return pd.DataFrame(out, columns=["query", "neighbour", "distance"]) if out else empty
+        return _frame(id_col, {c: [r[i] for r in out] for i, c in enumerate(["query", "neighbour", "distance"])})
 
     keys = ["cell", "block", "part"]
     found = asks.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInPandas(
@@ -97,16 +107,21 @@ def k_nearest(queries: DataFrame, train: DataFrame, k: int, id_col: str = "id",
 
 
 def knn_classify(queries: DataFrame, train: DataFrame, k: int = 25, id_col: str = "id", vector_col: str = "embedding",
-                 label_col: str = "label", weights: str = "distance") -> DataFrame:
+                 label_col: str = "label", weights: str = "distance", p: int = 2) -> DataFrame:
     """(query, predicted, share): vote of the neighbours, weighted by inverse distance or uniform; smallest label on a tie."""
-    near = k_nearest(queries, train, k, id_col, vector_col)
+    tallied = knn_votes(queries, train, k, id_col, vector_col, label_col, weights, p)
+    return tallied.groupBy("query").agg(
+        F.max_by(label_col, F.struct(F.round("w", 9), -F.col(label_col))).alias("predicted"),
+        (F.max("w") / F.sum("w")).alias("share"))
+
+
+def knn_votes(queries: DataFrame, train: DataFrame, k: int, id_col: str, vector_col: str, label_col: str, weights: str, p: int) -> DataFrame:
+    """(query, label, w): what the neighbours of each label add up to."""
+    near = k_nearest(queries, train, k, id_col, vector_col, p=p)
     voted = near.join(train.select(F.col(id_col).alias("neighbour"), label_col), "neighbour")
     if weights == "distance":
         exact = F.max(F.when(F.col("distance") == 0, 1).otherwise(0)).over(Window.partitionBy("query"))
         weight = F.when(exact == 1, F.when(F.col("distance") == 0, 1.0).otherwise(0.0)).otherwise(1.0 / F.col("distance"))
     else:
         weight = F.lit(1.0)
-    tallied = voted.withColumn("w", weight).groupBy("query", label_col).agg(F.sum("w").alias("w"))
-    return tallied.groupBy("query").agg(
-        F.max_by(label_col, F.struct(F.round("w", 9), -F.col(label_col))).alias("predicted"),
-        (F.max("w") / F.sum("w")).alias("share"))
+    return voted.withColumn("w", weight).groupBy("query", label_col).agg(F.sum("w").alias("w"))

@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from entlens.config import MAX_LITERAL_NAMES
-from entlens.functions.match import name_key, name_parts, normalise_name, text_keys
+from entlens.functions.bloom import KeyFilter
+from entlens.functions.match import loose_parts, name_key, name_parts, normalise_name, text_keys
 from entlens.functions.text import let
 
 CANDIDATE = "array<struct<name:string,canonical:string>>"
@@ -86,7 +87,7 @@ class Lexicon:
         if loose:
             listed = F.from_json(F.lit(json.dumps(loose)), CANDIDATE)
             low = F.lower(text)
-            found = F.concat(found, F.filter(listed, lambda e: low.contains(F.split(e["name"], " ")[0])))
+            found = F.concat(found, F.filter(listed, lambda e: low.contains(first_part(e["name"]))))
         return F.sort_array(found)
 
     def members_of(self, name: Column) -> Column:
@@ -101,25 +102,32 @@ class Lexicon:
 def with_candidates(df: DataFrame, lexicon: Lexicon, id_col: str, text_col: str = "clean") -> DataFrame:
     """Add `candidates` to a document table.
 
-    A literal lexicon is looked up inside the row. A larger one is joined on the key (Spark broadcasts it if it fits
-    the threshold); hits are pre-aggregated per document before the exchange, and only documents with hits move.
+    A literal lexicon is looked up inside the row. A larger one is joined: a filter of its keys, tested in the row, lets hardly a run
+    of the text through that is no key, so about as many rows move as there are hits. Names without a letter or digit have no
+    key; they are joined on their first part, which a text can hold at any place between letters, digits and separators.
     """
     if lexicon.is_literal:
         return df.withColumn("candidates", lexicon.candidates(F.col(text_col)))
-    keys = df.select(id_col, F.explode(text_keys(F.col(text_col), lexicon.max_parts)).alias("key"))
-    entry = F.struct("name", "canonical")
-    keyed = lexicon.entries.filter("key <> ''").select("key", entry.alias("entry"))
-    hits = keys.join(keyed, "key").select(id_col, "entry")
-    loose = lexicon.entries.filter("key = ''").agg(
-        F.collect_set(entry).alias("all")).select(F.slice("all", 1, MAX_LITERAL_NAMES).alias("all"), F.size("all").alias("n"))
-    n_loose, listed = loose.select("n", F.to_json("all")).first()
-    if n_loose > MAX_LITERAL_NAMES:
-        raise ValueError("too many names without a letter or digit to look for each of them in every text")
-    found = hits.groupBy(id_col).agg(F.collect_set("entry").alias("hits"))
-    low = F.lower(F.col(text_col))
-    extra = F.filter(F.from_json(F.lit(listed), CANDIDATE), lambda e: low.contains(F.split(e["name"], " ")[0]))
-    merged = F.sort_array(F.concat(F.coalesce("hits", F.array().cast(CANDIDATE)), extra))
-    return df.join(found, id_col, "left").withColumn("candidates", merged).drop("hits")
+    entry = F.struct("name", "canonical").alias("entry")
+    keyed = lexicon.entries.where("key <> ''").select("key", entry)
+    loose = lexicon.entries.where("key = ''").select(first_part(F.col("name")).alias("key"), entry)
+    hits = df.select(id_col, F.explode(known_keys(F.col(text_col), lexicon)).alias("key")).join(keyed, "key").select(id_col, "entry")
+    lengths = loose.agg(F.sort_array(F.collect_set(F.length("key")))).first()[0]  # no more than the longest name has characters
+    if lengths:
+        parts = F.filter(loose_parts(F.col(text_col), lengths), KeyFilter.of(loose.select("key").distinct(), "key").may_hold)
+        more = df.select(id_col, F.explode(parts).alias("key")).join(loose, "key").select(id_col, "entry")
+        hits = hits.unionByName(more)
+    found = hits.groupBy(id_col).agg(F.sort_array(F.collect_set("entry")).alias("candidates"))
+    return df.join(found, id_col, "left").withColumn("candidates", F.coalesce("candidates", F.array().cast(CANDIDATE)))
+
+
+def first_part(name: Column) -> Column:
+    return F.split(name, " ")[0]
+
+
+def known_keys(text: Column, lexicon: Lexicon) -> Column:
+    """The keys of a text that the lexicon may hold."""
+    return F.filter(text_keys(text, lexicon.max_parts), KeyFilter.of(lexicon.entries.where("key <> ''"), "key").may_hold)
 
 
 def canonical_of(name: Column, candidates: Column) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from entlens.config import LABELS
 from entlens.functions.text import let
+from entlens.operators.knn import knn_votes
 from entlens.sources.tables import pack
 from entlens.operators.vectorize import BLOCKS, CHAR_NGRAMS, WORD_NGRAMS, FeatureModel, Ngrams, class_weights
 
@@ -57,17 +58,47 @@ def boosted_trees(params: dict, weight_sum: float) -> Estimator:
     return OneVsRest(classifier=base, parallelism=3, **COLS)
 
 
+@dataclass
+class KnnModel:
+    """The training rows: id, vector and label."""
+
+    rows: DataFrame
+    params: dict
+
+    def scores(self, features: DataFrame) -> DataFrame:
+        """(query, _scores): the share of the neighbours' votes for each class."""
+        asked = features.select(F.col("unique_hash").alias("id"), vector_to_array("features").alias("embedding"))
+        votes = knn_votes(asked, self.rows, self.params.get("k", 25), "id", "embedding", "label", self.params.get("weights", "distance"), self.params.get("p", 2))
+        classes = F.map_from_entries(F.collect_list(F.struct(F.col("label").cast("int"), "w")))  # an entry a class
+        return votes.groupBy("query").agg(classes.alias("w"), F.sum("w").alias("all")).select(
+            "query", F.transform(F.sequence(F.lit(0), F.lit(2)), lambda c: F.coalesce(F.try_element_at("w", c), F.lit(0.0)) / F.col("all")).alias("_scores"))
+
+
+@dataclass
+class KnnEstimator:
+    """Distance-weighted votes of the nearest training rows; a training row is not its own neighbour."""
+
+    params: dict
+
+    def fit(self, features: DataFrame) -> KnnModel:
+        return KnnModel(features.select(F.col("unique_hash").alias("id"), vector_to_array("features").alias("embedding"), "label"), self.params)
+
+
+def nearest(params: dict, weight_sum: float) -> KnnEstimator:
+    return KnnEstimator(params)
+
+
 # The compared models, their base settings and representation.
 ESTIMATORS: dict[str, Callable[[dict, float], Estimator]] = {
     "LogisticRegression": logistic, "LinearSVC": linear_svc, "ComplementNB": complement_nb,
-    "DecisionTree": decision_tree, "RandomForest": random_forest, "GradientBoosting": boosted_trees,
+    "KNN": nearest, "DecisionTree": decision_tree, "RandomForest": random_forest, "GradientBoosting": boosted_trees,
 }
 BASE_PARAMS = {
-    "LogisticRegression": {"C": 1.0}, "LinearSVC": {"C": 0.05}, "ComplementNB": {"alpha": 0.3}, "DecisionTree": {},
+    "LogisticRegression": {"C": 1.0}, "LinearSVC": {"C": 0.05}, "ComplementNB": {"alpha": 0.3}, "KNN": {"k": 25}, "DecisionTree": {},
     "RandomForest": {}, "GradientBoosting": {},
 }
 REPRESENTATION = {
-    "LogisticRegression": "sparse", "LinearSVC": "sparse", "ComplementNB": "counts", "DecisionTree": "dense",
+    "LogisticRegression": "sparse", "LinearSVC": "sparse", "ComplementNB": "counts", "KNN": "dense", "DecisionTree": "dense",
     "RandomForest": "dense", "GradientBoosting": "dense",
 }
 
@@ -116,7 +147,11 @@ def softmax(margins: Column) -> Column:
 
 
 def predict(model: Model, features: DataFrame, keep: list[str], n_classes: int = 3) -> DataFrame:
-    """`keep`, the predicted class and a score per class: probabilities, else the softmax of the margins."""
+    """`keep`, the predicted class and a score per class: probabilities or shares of votes, else the softmax of the margins."""
+    if isinstance(model, KnnModel):
+        scored = features.join(model.scores(features), F.col("unique_hash") == F.col("query"))
+        best = F.array_position("_scores", F.array_max("_scores")) - 1
+        return scored.select(*keep, best.cast("int").alias("predicted"), *[F.get("_scores", F.lit(c)).alias(f"score_{c}") for c in range(n_classes)])
     out = model.transform(features)
     raw = vector_to_array(F.col("rawPrediction" if isinstance(model, OneVsRestModel) else "probability"))
     out = out.withColumn("_scores", softmax(raw) if isinstance(model, OneVsRestModel) else raw)

@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from entlens.functions.text import let, plain_spaces
-from entlens.operators.ranking import running_total
+from entlens.operators import svd
+from entlens.operators.ranking import global_row_number, hash_bucket, running_total
 from entlens.session import materialise
 
 # The blocks, their columns and the representations built from them.
@@ -31,6 +32,8 @@ BLOCKS = ("text", "counts", "scaled", "categories", "embedding")
 REPRESENTATIONS = ("sparse", "dense", "counts")
 # What a null category is called in a fitted model; no text holds it.
 NULL_CATEGORY = "\x00null"
+#: The largest SVD basis that is sent to every task.
+SEND_BYTES = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -141,7 +144,8 @@ class TfidfModel:
 
     def transform(self, df: DataFrame, text_col: str, name: str) -> DataFrame:
         """Add struct `name`(indices, values): (1 + ln tf) * idf, unit length."""
-        df = self.counter.transform(df.withColumn("_bag", self.spec.terms(F.col(text_col)))).drop("_bag")
+        bag = F.coalesce(self.spec.terms(F.col(text_col)), F.array().cast("array<string>"))
+        df = self.counter.transform(df.withColumn("_bag", bag)).drop("_bag")
         raw = F.unwrap_udt("_counts")
         idf = F.from_json(F.lit(json.dumps(self.idf or [0.0])), "array<double>")
         weights = F.zip_with(raw["indices"], raw["values"], lambda i, v: (F.log(v) + 1) * F.get(idf, i))
@@ -188,92 +192,120 @@ class ScaleModel:
 
 @dataclass
 class OneHotModel:
-    """Indicator columns; values below `min_rows` training rows, and unseen ones, share an `infrequent` column. Null is a value."""
+    """Indicator columns; values below `min_rows` training rows, and unseen ones, share an `infrequent` column. Null is a value.
+
+    The kept values are a table (column, value, place), so their number has no bound; places follow a hash of the value.
+    """
 
     columns: tuple[str, ...]
     min_rows: int = 10
-    limit: int = 100_000
-    kept: dict[str, list[str]] = field(default_factory=dict)
+    levels: DataFrame | None = None
+    kept: dict[str, int] = field(default_factory=dict)
     has_rare: dict[str, bool] = field(default_factory=dict)
 
+    def counts(self, df: DataFrame, *by: str) -> DataFrame:
+        """(*by, column, value, n), combined in the tasks before it moves."""
+        each = F.array(*[F.struct(F.lit(c).alias("column"), self._value(c).alias("value")) for c in self.columns])
+        return df.select(*by, F.inline(each)).groupBy(*by, "column", "value").agg(F.count("*").alias("n"))
+
     def fit(self, df: DataFrame) -> OneHotModel:
-        for c in self.columns:
-            counts = df.groupBy(self._value(c).alias(c)).agg(F.count("*").alias("n"))
-            frequent = counts.filter(F.col("n") >= self.min_rows).orderBy(c).limit(self.limit + 1).collect()
-            if len(frequent) > self.limit:
-                raise ValueError(f"{c} has more than {self.limit} frequent values")
-            self.kept[c] = [r[c] for r in frequent]
-            self.has_rare[c] = not counts.filter(F.col("n") < self.min_rows).isEmpty()
+        return self.keep(materialise(self.counts(df), "category-counts"))
+
+    def keep(self, counts: DataFrame) -> OneHotModel:
+        """Fit to (column, value, n)."""
+        frequent = F.col("n") >= self.min_rows
+        sizes = {r["column"]: r for r in counts.groupBy("column").agg(F.count_if(frequent).alias("kept"), F.count_if(~frequent).alias("rare")).collect()}  # one row a column
+        self.kept = {c: sizes[c]["kept"] if c in sizes else 0 for c in self.columns}
+        self.has_rare = {c: c in sizes and sizes[c]["rare"] > 0 for c in self.columns}
+        ranked = global_row_number(counts.where(frequent), ["column"], hash_bucket(F.md5("value")), [F.col("value")], "place")
+        self.levels = materialise(ranked.select("column", "value", (F.col("place") - 1).cast("int").alias("place")), "category-levels")
         return self
 
     @staticmethod
     def _value(c: str) -> Column:
-        return F.coalesce(F.col(c), F.lit(NULL_CATEGORY))
+        return F.coalesce(F.col(c).cast("string"), F.lit(NULL_CATEGORY))
+
+    def encode(self, df: DataFrame) -> DataFrame:
+        """Add `_place_<column>`, null for an unseen value without an infrequent column. A table of values too large to send to every
+        task is joined by sorting, where the rows of a hot value can be split."""
+        for c in self.columns:
+            own = self.levels.where(F.col("column") == c).select(F.col("value").alias("_value"), F.col("place").alias(f"_place_{c}"))
+            df = df.withColumn("_value", self._value(c)).join(own, "_value", "left").drop("_value")
+            if self.has_rare[c]:
+                df = df.withColumn(f"_place_{c}", F.coalesce(f"_place_{c}", F.lit(self.kept[c])))
+        return df
 
     def category(self, c: str) -> Column:
-        """The column a value is encoded in, null for an unseen value without an infrequent column."""
-        rare = F.lit("infrequent") if self.has_rare[c] else F.lit(None).cast("string")
-        return F.when(self._value(c).isin(*self.kept[c]), self._value(c)).otherwise(rare) if self.kept[c] else rare
+        """The name of the column an encoded value stands in, null if in none."""
+        return F.when(F.col(f"_place_{c}") < self.kept[c], self._value(c)).when(F.col(f"_place_{c}").isNotNull(), "infrequent")
 
     @property
     def width(self) -> int:
-        return sum(len(self.kept[c]) + int(self.has_rare[c]) for c in self.columns)
+        return sum(self.kept[c] + int(self.has_rare[c]) for c in self.columns)
 
     def block(self) -> SparseBlock:
+        """Of encoded rows."""
         places, offset = [], 0
         for c in self.columns:
-            index = {v: offset + i for i, v in enumerate(self.kept[c])}
-            lookup = F.from_json(F.lit(json.dumps(index)), "map<string,int>")
-            rare = F.lit(offset + len(self.kept[c])) if self.has_rare[c] else F.lit(None).cast("int")
-            places.append(F.coalesce(F.get(F.filter(F.array(F.try_element_at(lookup, self._value(c))), lambda x: x.isNotNull()), F.lit(0)), rare))
-            offset += len(self.kept[c]) + int(self.has_rare[c])
+            places.append(F.col(f"_place_{c}") + offset)
+            offset += self.kept[c] + int(self.has_rare[c])
         indices = F.filter(F.array(*places), lambda i: i.isNotNull())
         return SparseBlock(indices, F.transform(indices, lambda _: F.lit(1.0)), max(offset, 1))
 
 
 @dataclass
 class SvdModel:
-    """Leading right singular vectors of an uncentred block: width x k, both bounded by the vocabulary caps."""
+    """Leading right singular vectors of an uncentred block: a matrix while it is small enough to send to every task, else a table of
+    row blocks. The size is checked before the fit."""
 
-    basis: np.ndarray
+    basis: np.ndarray | None
+    blocks: DataFrame | None = None
+    k: int = 0
+    values: np.ndarray | None = None
 
     @classmethod
-    def fit(cls, df: DataFrame, name: str, width: int, k: int, passes: int = 5, oversample: int = 10, seed: int = 42) -> SvdModel:
-        """Randomised subspace iteration (Halko et al. 2011): every pass multiplies the block by its transpose.
-
-        A task keeps one width x (k + oversample) sum, bounded by the vocabulary caps; sums are added up by row before
-        they come back, so neither rows nor the number of tasks reach the driver.
-        """
+    def fit(cls, df: DataFrame, name: str, width: int, k: int, passes: int = 5, oversample: int = 10, seed: int = 42, send_bytes: int = SEND_BYTES) -> SvdModel:
+        """Randomised subspace iteration (Halko et al. 2011): every pass multiplies the block by its transpose."""
         rows = materialise(df.select(f"{name}.indices", f"{name}.values"), "svd-rows")
         k = max(1, min(k, width - 1))
+        if width * (k + oversample) * 8 > send_bytes:
+            blocks, values = svd.leading_vectors(rows, width, k, passes, oversample, seed)
+            return cls(None, blocks, k, values)
         basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((width, min(k + oversample, width))))[0]
         for last in [False] * passes + [True]:
             product = cls._gram_times(rows, basis)
             if last:  # rotate the basis to singular directions
                 values, vectors = np.linalg.eigh(basis.T @ product)
-                return cls(basis @ vectors[:, np.argsort(values)[::-1][:k]])
+                order = np.argsort(values)[::-1][:k]
+                return cls(basis @ vectors[:, order], None, k, np.sqrt(np.maximum(values[order], 0)))
             basis = np.linalg.qr(product)[0]
         raise AssertionError
 
     @staticmethod
     def _gram_times(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
+        """A task keeps one sum of the basis's size; sums are added up by row before they come back."""
         shared = rows.sparkSession.sparkContext.broadcast(basis)
 
-        def partial(frames):
+        def partial(batches):
+            import pyarrow as pa
+
             q = shared.value
             out, touched = np.zeros_like(q), np.zeros(len(q), dtype=bool)
-            for frame in frames:
-                for indices, values in zip(frame["indices"], frame["values"]):
-                    out[indices] += np.outer(values, values @ q[indices])
-                    touched[indices] = True
+            for batch in batches:
+                starts, index = svd._flat(batch.column("indices"))
+                _, values = svd._flat(batch.column("values"))
+                found, local = np.unique(index, return_inverse=True)
+                out[found] += svd.times(*svd.transposed(starts, local, values, len(found)), svd.times(starts, index, values, q))
+                touched[found] = True
             at = np.flatnonzero(touched)
             for start in range(0, len(at), 2000):
                 part = at[start : start + 2000]
-                yield pd.DataFrame({"idx": part.astype(np.int32), "v": list(out[part])})
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(out[part].ravel()), q.shape[1]).cast(pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), lists], names=["idx", "v"])
 
         from pyspark.ml.stat import Summarizer
 
-        sums = rows.mapInPandas(partial, "idx int, v array<double>").select("idx", array_to_vector("v").alias("v"))
+        sums = rows.mapInArrow(partial, "idx int, v array<double>").select("idx", array_to_vector("v").alias("v"))
         total = np.zeros_like(basis)
         for r in sums.groupBy("idx").agg(Summarizer.sum(F.col("v")).alias("v")).toLocalIterator():
             total[r["idx"]] = r["v"].toArray()
@@ -282,14 +314,19 @@ class SvdModel:
 
     @property
     def width(self) -> int:
-        return self.basis.shape[1]
+        return self.k
 
     def project(self, df: DataFrame, name: str, out: str) -> DataFrame:
+        if self.blocks is not None:
+            return svd.project(df, name, out, self.blocks, self.k)
         basis = df.sparkSession.sparkContext.broadcast(self.basis)
 
         @F.pandas_udf("array<double>")
         def rows(indices: pd.Series, values: pd.Series) -> pd.Series:
-            return pd.Series([v @ basis.value[i] for i, v in zip(indices, values)])
+            lists = [(i, v) if i is not None else ([], []) for i, v in zip(indices, values)]
+            starts = np.concatenate([[0], np.cumsum([len(i) for i, _ in lists])]).astype(np.int64)
+            index, value = (np.concatenate([np.asarray(x[k], kind) for x in lists]) for k, kind in ((0, np.int64), (1, np.float64)))
+            return pd.Series(list(svd.times(starts, index, value, basis.value)))
 
         return df.withColumn(out, rows(F.col(name)["indices"], F.col(name)["values"]))
 
@@ -357,9 +394,15 @@ class FeatureModel:
                 model.counter.write().overwrite().save(f"{path}/{name}-counter")
                 idf = pd.DataFrame({"idx": np.arange(len(model.terms), dtype=np.int32), "term": model.terms, "idf": model.idf})
                 spark.createDataFrame(idf, "idx int, term string, idf double").write.mode("overwrite").parquet(f"{path}/{name}-terms")
+            elif isinstance(model, SvdModel) and model.blocks is not None:
+                model.blocks.write.mode("overwrite").parquet(f"{path}/{name}-blocks")
+                state["models"][name] = {"k": model.k}
             elif isinstance(model, SvdModel):
                 basis = pd.DataFrame({"idx": np.arange(len(model.basis), dtype=np.int32), "v": list(model.basis)})
                 spark.createDataFrame(basis, "idx int, v array<double>").write.mode("overwrite").parquet(f"{path}/{name}-basis")
+            elif isinstance(model, OneHotModel):
+                model.levels.write.mode("overwrite").parquet(f"{path}/{name}-levels")
+                state["models"][name] = {"columns": model.columns, "min_rows": model.min_rows, "kept": model.kept, "has_rare": model.has_rare}
             else:
                 state["models"][name] = asdict(model) if is_dataclass(model) else model
         spark.createDataFrame([(json.dumps(state),)], "state string").write.mode("overwrite").parquet(f"{path}/state")
@@ -375,16 +418,23 @@ class FeatureModel:
             if grams[name] is not None:
                 rows = spark.read.parquet(f"{path}/{name}-terms").orderBy("idx").collect()  # bounded by max_features
                 made.models[name] = TfidfModel(grams[name], [r["term"] for r in rows], [r["idf"] for r in rows], CountVectorizerModel.load(f"{path}/{name}-counter"))
-        if made.representation == "dense" and "text" in made.blocks:
+        if "categories" in made.models:
+            made.models["categories"].levels = spark.read.parquet(f"{path}/categories-levels")
+        if "svd" in made.models:
+            made.models["svd"] = SvdModel(None, spark.read.parquet(f"{path}/svd-blocks"), made.models["svd"]["k"])
+        elif made.representation == "dense" and "text" in made.blocks:
             rows = spark.read.parquet(f"{path}/svd-basis").orderBy("idx").collect()
-            made.models["svd"] = SvdModel(np.array([r["v"] for r in rows]))
+            basis = np.array([r["v"] for r in rows])
+            made.models["svd"] = SvdModel(basis, None, basis.shape[1])
         return made
 
     def _text_width(self) -> int:
         return sum(self.models[name].width for name in ("word", "char") if name in self.models)
 
     def _text(self, df: DataFrame) -> DataFrame:
-        """Add `tfidf`: the word block followed by the character block."""
+        """Add `tfidf`, the word block followed by the character block, and the places of the categories."""
+        if "categories" in self.blocks:
+            df = self.models["categories"].encode(df)
         if "text" not in self.blocks:
             return df
         df = self.models["word"].transform(df, self.text_col, "word_tfidf")
@@ -443,7 +493,7 @@ class FeatureModel:
                 F.sequence(F.lit(0), F.lit(block.width - 1)), lambda i: F.array_contains(at, i).cast("double"))))
         if "embedding" in self.blocks:
             arrays.append(F.transform(self.embedding_col, lambda v: v.cast("double")))
-        return df.withColumn("dense_values", F.concat(*arrays)).drop("tfidf", "svd_values")
+        return df.withColumn("dense_values", F.concat(*arrays)).drop("tfidf", "svd_values", *[f"_place_{c}" for c in CATEGORY_FEATURES])
 
     def _fit_dense_scale(self, df: DataFrame) -> None:
         from pyspark.ml.stat import Summarizer

@@ -21,15 +21,11 @@ from entlens.sources import contracts as C
 from entlens.sources import csvio
 from entlens.streaming import score as stream
 
-# The linear models use the shipped vocabularies. Smaller dense vocabularies and ensembles than the shipped settings keep the
-# whole round of queries short; the rows are all there.
 LINEAR = G.ModelConfig(stop_words=tuple(X.STOP))
-DENSE = replace(LINEAR, representation="dense", svd_components=20, word=V.Ngrams("word", 1, 2, 2, 2000), char=V.Ngrams("char", 2, 5, 3, 2000))
 
 
 def config(model: str, **params) -> G.ModelConfig:
-    base = DENSE if G.REPRESENTATION[model] == "dense" else LINEAR
-    return replace(base, model=model, representation=G.REPRESENTATION[model], params={**G.BASE_PARAMS[model], **params})
+    return replace(LINEAR, model=model, representation=G.REPRESENTATION[model], params={**G.BASE_PARAMS[model], **params})
 
 
 def _fit_and_score(spark, folder, cfg):
@@ -95,12 +91,12 @@ def tree(spark, folder):
 
 @query("g06_random_forest")
 def forest(spark, folder):
-    return _fit_and_score(spark, folder, config("RandomForest", trees=40, max_depth=8))
+    return _fit_and_score(spark, folder, config("RandomForest"))
 
 
 @query("g07_gradient_boosted_trees")
 def boosted(spark, folder):
-    return _fit_and_score(spark, folder, config("GradientBoosting", rounds=8))
+    return _fit_and_score(spark, folder, config("GradientBoosting"))
 
 
 @query("g08_class_scores", f"""WITH {X.PRED}, m AS (SELECT doc_id, 3 * score_0 AS a, 3 * score_1 AS b, 3 * score_2 AS c FROM pred),
@@ -112,33 +108,44 @@ def class_scores(spark, folder):
     return s.select("doc_id", *[F.round(F.col("s")[c], 6).alias(f"score_{c}") for c in range(3)])
 
 
+@query("g04_nearest_neighbours_manhattan", f"""WITH {_KNN.replace("sqrt(", "(").replace("(z[1]::DOUBLE - z[2]::DOUBLE) ** 2", "abs(z[1]::DOUBLE - z[2]::DOUBLE)")}
+SELECT q AS query, n AS neighbour, round(distance, 5) AS distance, rank FROM r WHERE rank <= 10""")
+def manhattan(spark, folder):
+    v = _vectors(spark, folder)
+    return k_nearest(v, v, 10, p=1).select("query", "neighbour", F.round("distance", 5).alias("distance"), F.col("rank").cast("long"))
+
+
 @query("g09_cross_validation")
 def cross_validation(spark, folder):
-    oof = CV.cross_validate(S.model_frame(spark, folder), LINEAR)
+    oof = CV.cross_validate(S.fold_store(spark, folder), LINEAR)
     return H.scores(oof, ["fold"])
 
 
+def _screened(spark, folder, models):
+    floor = H.majority_baseline(S.model_frame(spark, folder)).first()["f1_weighted"]
+    return CV.screen_models(S.fold_store(spark, folder), {m: config(m) for m in models}, floor)
+
+
 @query("g10_model_screening")
 def screening(spark, folder):
-    frame = S.model_frame(spark, folder)
-    floor = H.majority_baseline(frame).first()["f1_weighted"]
-    return CV.screen_models(frame, {m: config(m) for m in ("LogisticRegression", "LinearSVC", "ComplementNB")}, floor)
+    return _screened(spark, folder, list(G.ESTIMATORS))
 
 
 @query("g11_grid_search")
 def grid(spark, folder):
-    return CV.grid_search(S.model_frame(spark, folder), LINEAR, ["ctx_k0", "ctx_k1"], [0.03, 0.3])
+    return CV.grid_search(S.fold_store(spark, folder), LINEAR, list(S.WINDOWS), list(S.C_GRID))
 
 
 @query("g12_random_search")
 def search(spark, folder):
-    return CV.random_search(S.model_frame(spark, folder), config("ComplementNB"), trials=3, startup=2)
+    """The three best of the models with a linear or closed form, 30 trials each."""
+    models = ["LogisticRegression", "LinearSVC", "ComplementNB"]
+    return CV.tune_best(S.fold_store(spark, folder), _screened(spark, folder, models), {m: config(m) for m in models})
 
 
 @query("g12_selection_rule")
 def selection(spark, folder):
-    frame = S.model_frame(spark, folder)
-    return CV.pick_best(CV.screen_models(frame, {m: config(m) for m in ("LogisticRegression", "ComplementNB")}, 0.0))
+    return CV.pick_best(_screened(spark, folder, ["LogisticRegression", "LinearSVC", "ComplementNB", "KNN", "DecisionTree"]))
 
 
 def _saved(spark, folder, path):
@@ -210,14 +217,13 @@ def rank_weights(spark, folder):
 
 @query("h11_out_of_fold_table")
 def oof_table(spark, folder):
-    return CV.cross_validate(S.model_frame(spark, folder), LINEAR).select(
+    return CV.cross_validate(S.fold_store(spark, folder), LINEAR).select(
         "unique_hash", "entity", "fold", F.col("sentiment").alias("true"), "predicted", "score_0", "score_1", "score_2")
 
 
 @query("h12_ablations")
 def ablations(spark, folder):
-    base = replace(config("LogisticRegression", max_iter=20), word=V.Ngrams("word", 1, 2, 2, 2000), char=V.Ngrams("char", 2, 5, 3, 2000))
-    return CV.run_ablations(S.model_frame(spark, folder), base)
+    return CV.run_ablations(S.fold_store(spark, folder), LINEAR)
 
 
 @query("a12_model_card", f"""WITH {X.LAB}, c AS (SELECT sentiment, count(*) AS n FROM lab GROUP BY 1)

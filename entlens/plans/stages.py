@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from entlens.operators import encode as E
 from entlens.operators import folds as P
+from entlens.operators.models import ModelConfig
+from entlens.operators.store import FoldStore
 from entlens.plans import fixtures as X
 from entlens.plans import rows as PR
 from entlens.session import materialise
@@ -59,6 +61,19 @@ def test_frame(spark: SparkSession, folder: str) -> DataFrame:
     return _stage(spark, folder, "test-frame", build)
 
 
+# The searched windows and penalties.
+WINDOWS, C_GRID = ("ctx_k0", "ctx_k1", "ctx_k2"), (0.03, 0.05, 0.0847, 0.15, 0.3)
+_stores: dict[tuple[str, str], FoldStore] = {}
+
+
+def fold_store(spark: SparkSession, folder: str) -> FoldStore:
+    """The fitted blocks of the labelled pairs' folds, shared by the queries of a session."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _stores:
+        _stores[key] = FoldStore(model_frame(spark, folder), ModelConfig(stop_words=tuple(X.STOP)))
+    return _stores[key]
+
+
 def with_position(df: DataFrame, key: str = "unique_hash") -> DataFrame:
     """An explicit order column: the rank of the key."""
     from entlens.operators.ranking import global_row_number, hash_bucket
