@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from entlens.functions.match import entity_sentences, first_mention_word, literal_mentions
 from entlens.functions.text import word_count, words
-from entlens.operators.ranking import exact_quantiles, quantile_name
+from entlens.operators.ranking import column_counts, exact_quantiles, quantile_name, quantiles_of_counts
+from entlens.session import materialise
 
 
 def text_key(text: Column | str) -> Column:
@@ -39,19 +40,20 @@ def text_statistics(df: DataFrame, text_col: str = "text", entity_col: str = "en
 
 
 def table_profile(train: DataFrame, test: DataFrame, id_col: str, text_col: str, entity_col: str, label_col: str) -> DataFrame:
-    """(metric, value) of the quality checks over two tables."""
-    slim = train.select(id_col, entity_col, label_col, text_key(text_col).alias("text_key"))
-    nulls = lambda df: sum((F.count_if(F.col(c).isNull()) for c in df.columns), F.lit(0))
+    """(metric, value) of the quality checks over two tables. What the checks need of a row is written once: both inputs are read once."""
+    nulls = lambda df: sum((F.col(c).isNull().cast("int") for c in df.columns), F.lit(0)).alias("nulls")
+    slim = materialise(train.select(id_col, entity_col, label_col, text_key(text_col).alias("text_key"), nulls(train)), "profile-train")
+    other = materialise(test.select(id_col, nulls(test)), "profile-test")
     per_id = slim.groupBy(id_col).count()
     per_pair = slim.groupBy("text_key", entity_col).agg(
         F.count("*").alias("rows"), F.count_distinct(label_col).alias("labels"))
     per_text = slim.groupBy("text_key").count()
-    shared = train.select(id_col).intersect(test.select(id_col))
+    shared = slim.select(id_col).intersect(other.select(id_col))
     parts = [
-        (train.agg(F.count("*").alias("value")), "records train"),
-        (test.agg(F.count("*").alias("value")), "records test"),
-        (train.agg(nulls(train).alias("value")), "null values train"),
-        (test.agg(nulls(test).alias("value")), "null values test"),
+        (slim.agg(F.count("*").alias("value")), "records train"),
+        (other.agg(F.count("*").alias("value")), "records test"),
+        (slim.agg(F.coalesce(F.sum("nulls"), F.lit(0)).alias("value")), "null values train"),
+        (other.agg(F.coalesce(F.sum("nulls"), F.lit(0)).alias("value")), "null values test"),
         (per_id.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("value")), "duplicate ids train"),
         (per_pair.agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("value")), "duplicate pairs train"),
         (per_pair.agg(F.count_if(F.col("labels") > 1).alias("value")), "pairs with conflicting labels"),
@@ -129,24 +131,23 @@ def extreme_groups(shares: DataFrame, by: str, share: str, min_rows: int) -> Dat
 
 
 def summary_by_class(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
-    """(class, column, mean, median)."""
-    out = None
-    for c in columns:
-        mean = df.groupBy(by).agg(F.avg(c).alias("mean"))
-        part = mean.join(exact_quantiles(df, c, [0.5], [by]), by).select(
-            by, F.lit(c).alias("column"), "mean", F.col("p50").alias("median"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """(class, column, mean, median): one scan and one ranked pass for all columns."""
+    counts = column_counts(df, columns, [by])
+    medians = quantiles_of_counts(counts, [0.5], [by, "column"])
+    return _moments(counts, [by, "column"]).join(medians, [by, "column"]).select(by, "column", "mean", F.col("p50").alias("median"))
 
 
 def overall_summary(df: DataFrame, columns: list[str]) -> DataFrame:
-    out = None
-    for c in columns:
-        q = exact_quantiles(df, c, [0.5])
-        part = df.agg(F.avg(c).alias("mean"), F.max(c).cast("double").alias("max")).withColumn("median", q.scalar())
-        part = part.select(F.lit(c).alias("column"), "mean", "median", "max")
-        out = part if out is None else out.unionByName(part)
-    return out
+    counts = column_counts(df, columns)
+    return _moments(counts, ["column"]).join(quantiles_of_counts(counts, [0.5], ["column"]), "column").select("column", "mean", F.col("p50").alias("median"), "max")
+
+
+def _moments(counts: DataFrame, by: list[str]) -> DataFrame:
+    """(*by, count, mean, std, min, max) of values `_value` that occur `n` times; the deviation is the sample one."""
+    rows = counts.where("n > 0")
+    base = rows.groupBy(*by).agg(F.sum("n").alias("count"), (F.sum(F.col("n") * F.col("_value")) / F.sum("n")).alias("mean"), F.min("_value").alias("min"), F.max("_value").alias("max"))
+    apart = rows.join(base.select(*by, "mean"), by).groupBy(*by).agg(F.sum(F.col("n") * F.pow(F.col("_value") - F.col("mean"), 2)).alias("_square"))
+    return base.join(apart, by).withColumn("std", F.sqrt(F.try_divide(F.col("_square"), F.col("count") - 1))).drop("_square")
 
 
 def with_quartile(df: DataFrame, col: str, name: str = "quartile") -> DataFrame:
@@ -160,30 +161,22 @@ def with_quartile(df: DataFrame, col: str, name: str = "quartile") -> DataFrame:
 
 
 def describe_numeric(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
-    """(column, count, mean, std, min, p.., max); the deviation is the sample one."""
-    out = None
-    for c in columns:
-        q = exact_quantiles(df, c, probs)
-        base = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                      F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"))
-        base = base.withColumn("_q", q.select(F.struct(*q.columns)).scalar())
-        part = base.select(F.lit(c).alias("column"), "count", "mean", "std", "min", "max",
-                           *[F.col("_q")[quantile_name("p", p)].alias(quantile_name("p", p)) for p in probs])
-        out = part if out is None else out.unionByName(part)
-    return out
+    """(column, count, mean, std, min, p.., max); the deviation is the sample one. One scan and one ranked pass for all columns."""
+    counts = column_counts(df, columns)
+    both = _moments(counts, ["column"]).join(quantiles_of_counts(counts, probs, ["column"]), "column")
+    return both.select("column", "count", "mean", "std", "min", "max", *[quantile_name("p", p) for p in probs])
 
 
 def describe_values(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, count, unique, top, freq): the most frequent value, the smallest on a tie. Long texts go by digest."""
-    out = None
-    for c in columns:
-        counts = df.filter(F.col(c).isNotNull()).groupBy(F.col(c).alias("value")).agg(F.count("*").alias("rows"))
-        part = counts.agg(
-            F.sum("rows").alias("count"), F.count("*").alias("unique"),
-            F.min(F.struct((-F.col("rows")).alias("neg"), F.col("value").cast("string").alias("value"))).alias("first"),
-        ).select(F.lit(c).alias("column"), "count", "unique", F.col("first")["value"].alias("top"), (-F.col("first")["neg"]).alias("freq"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """(column, count, unique, top, freq): the most frequent value, the smallest on a tie. Values are counted by digest, for all columns
+    in one scan; only what ties for the first place is looked at again."""
+    each = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]))
+    values = df.select(each).where(F.col("value").isNotNull()).withColumn("digest", F.md5("value"))
+    counts = materialise(values.groupBy("column", "digest").agg(F.count("*").alias("rows")), "value-counts")
+    whole = materialise(counts.groupBy("column").agg(F.sum("rows").alias("count"), F.count("*").alias("unique"), F.max("rows").alias("freq")), "value-totals")
+    first = materialise(counts.join(whole, "column").where(F.col("rows") == F.col("freq")).select("column", "digest"), "value-ties")
+    top = values.join(first, ["column", "digest"], "left_semi").groupBy("column").agg(F.min("value").alias("top"))
+    return whole.join(top, "column").select("column", "count", "unique", "top", "freq")
 
 
 def first_mention_summary(df: DataFrame, col: str, limit: int = 380) -> DataFrame:

@@ -1,7 +1,7 @@
 """Exact k nearest neighbours without comparing every pair of rows.
 
-Training rows are assigned to the nearest of a bounded set of pivots. A first look inside the query's own cells gives an
-upper bound on its k-th distance; the triangle inequality then rules out every cell whose closest possible row is farther
+Training rows are assigned to the nearest of a bounded set of pivots. The query's own cells are searched first, which gives a true
+k-th distance; the triangle inequality then rules out every other cell whose closest possible row is farther
 (the pivot-based kNN join of Lu et al. 2012). Cells are cut into blocks of bounded size, so a hot cell is many tasks.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from entlens.session import materialise
 
 BLOCK_ROWS = 20_000
+MOST_PIVOTS = 1024
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -36,13 +37,16 @@ def _pairwise(a: np.ndarray, b: np.ndarray, p: int = 2) -> np.ndarray:
 
 
 def k_nearest(queries: DataFrame, train: DataFrame, k: int, id_col: str = "id", vector_col: str = "embedding",
-              n_pivots: int = 64, seed: int = 42, p: int = 2) -> DataFrame:
+              n_pivots: int | None = None, seed: int = 42, p: int = 2, report: dict | None = None) -> DataFrame:
     """(query, neighbour, distance): the k nearest training rows, the smaller id on a tie; a row is not its own neighbour.
 
-    `p` is 2 for Euclidean and 1 for Manhattan distances; the triangle inequality holds for both.
+    `p` is 2 for Euclidean and 1 for Manhattan distances; the triangle inequality holds for both. Pivots grow with the square root of
+    the rows, up to MOST_PIVOTS. A `report` gets the pairs compared and all pairs.
     """
     if p not in (1, 2):
         raise ValueError("p is 1 or 2")
+    if n_pivots is None:
+        n_pivots = int(min(MOST_PIVOTS, max(16, train.count() ** 0.5)))
     pivot_rows = train.withColumn("_d", F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))).orderBy("_d", id_col).limit(n_pivots)
     pivots = _matrix(pd.Series([r[0] for r in pivot_rows.select(vector_col).collect()]))  # at most n_pivots rows
     id_type, vector_type = (train.schema[c].dataType.simpleString() for c in (id_col, vector_col))
@@ -64,8 +68,8 @@ def k_nearest(queries: DataFrame, train: DataFrame, k: int, id_col: str = "id",
     n_blocks = F.element_at(F.create_map(*[F.lit(x) for c, b in blocks.items() for x in (c, b)]), F.col("cell"))
     cells = materialise(cells.withColumn("block", F.pmod(F.xxhash64(id_col), n_blocks).cast("int")), "knn-rows")
 
-    def home(frames):
-        """The nearest cells that together hold more than k rows: their rows alone bound the k-th distance."""
+    def asks_for(frames, later: bool):
+        """First the nearest cells that together hold more than k rows; later those that may hold a row nearer than the k-th of these."""
         for f in frames:
             if not len(f):
                 continue
@@ -73,37 +77,58 @@ def k_nearest(queries: DataFrame, train: DataFrame, k: int, id_col: str = "id",
             rank = np.argsort(d, axis=1, kind="stable")
             enough = np.cumsum(counts[rank], axis=1) > k
             stop = np.where(enough.any(axis=1), enough.argmax(axis=1), len(order) - 1)
-            # No row of a cell is farther from the query than the pivot distance plus the radius.
-            bound = np.array([(d[i, rank[i, : s + 1]] + radius[rank[i, : s + 1]]).max() for i, s in enumerate(stop)])
-            keep = d - radius[None, :] <= bound[:, None] + 1e-9
+            home = np.zeros(d.shape, bool)
+            np.put_along_axis(home, rank, np.arange(d.shape[1])[None, :] <= stop[:, None], axis=1)
+            if later:
+                bound = f["bound"].to_numpy(dtype=np.float64)
+                keep = ~home & (d - radius[None, :] <= bound[:, None] + 1e-9 * (1 + bound[:, None]))
+            else:
+                keep = home
             rows = [(q, v, int(order[j]), b) for i, (q, v) in enumerate(zip(f[id_col], f[vector_col]))
                     for j in np.flatnonzero(keep[i]) for b in range(blocks[int(order[j])])]
             yield _frame(id_col, {c: [r[i] for r in rows] for i, c in enumerate([id_col, vector_col, "cell", "block"])})
 
-    asks = queries.select(id_col, vector_col).mapInPandas(home, f"{id_col} {id_type}, {vector_col} {vector_type}, cell int, block int")
-    asks = materialise(asks, "knn-asks")
-    # The queries of a block are cut into parts of bounded size too; a block is repeated only as often as it has parts,
-    # and a block that nobody asks for is dropped.
-    parts = asks.groupBy("cell", "block").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts"))
-    asks = asks.join(parts, ["cell", "block"]).withColumn("part", F.pmod(F.xxhash64(id_col), F.col("parts")).cast("int")).drop("parts")
-    copies = cells.select(id_col, vector_col, "cell", "block").join(parts, ["cell", "block"]).withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-
     def nearest(key, ask: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        if not len(ask) or not len(rows):
-            return _frame(id_col, {"query": [], "neighbour": [], "distance": np.empty(0)})
-        ids, matrix, out = rows[id_col].to_numpy(), _matrix(rows[vector_col]), []
-        for q, v in zip(ask[id_col], ask[vector_col]):
-            d = _pairwise(np.asarray(v, dtype=np.float64)[None, :], matrix, p)[0]
-            pick = np.lexsort((ids, d))[: k + 1]
-            out += [(q, ids[i], d[i]) for i in pick if ids[i] != q][:k]
-        return _frame(id_col, {c: [r[i] for r in out] for i, c in enumerate(["query", "neighbour", "distance"])})
+        out = []
+        if len(ask) and len(rows):
+            ids, matrix, asked = rows[id_col].to_numpy(), _matrix(rows[vector_col]), _matrix(ask[vector_col])
+            step = max(1, 4_000_000 // max(1, matrix.size))
+            for at in range(0, len(ask), step):
+                for q, d in zip(ask[id_col].iloc[at : at + step], _pairwise(asked[at : at + step], matrix, p)):
+                    few = np.flatnonzero(d <= np.partition(d, k)[k]) if len(d) > k + 1 else np.arange(len(d))
+                    pick = few[np.lexsort((ids[few], d[few]))][: k + 1]
+                    out += [(q, ids[i], d[i]) for i in pick if ids[i] != q][:k]
+        return _frame(id_col, {c: [r[i] for r in out] if out else np.empty(0) for i, c in enumerate(["query", "neighbour", "distance"])})
 
     keys = ["cell", "block", "part"]
-    found = asks.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInPandas(
-        nearest, f"query {id_type}, neighbour {id_type}, distance double")
     best = Window.partitionBy("query").orderBy("distance", "neighbour")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+    def meet(asks: DataFrame) -> DataFrame:
+        """The queries of a block are cut into parts of bounded size too; a block is repeated only as often as it has parts, and one
+        that nobody asks for is dropped."""
+        asks = materialise(asks, "knn-asks")
+        wanted = materialise(asks.groupBy("cell", "block").agg(F.count("*").alias("asks"), F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts")), "knn-parts")
+        if report is not None:
+            sizes = cells.groupBy("cell", "block").agg(F.count("*").alias("rows"))
+            done = wanted.join(sizes, ["cell", "block"]).agg(F.sum(F.col("asks") * F.col("rows"))).first()[0] or 0
+            report["pairs"] = report.get("pairs", 0) + done
+        parts = wanted.drop("asks")
+        asks = asks.join(parts, ["cell", "block"]).withColumn("part", F.pmod(F.xxhash64(id_col), F.col("parts")).cast("int")).drop("parts")
+        copies = cells.select(id_col, vector_col, "cell", "block").join(parts, ["cell", "block"]).withColumn(
+            "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        found = asks.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInPandas(nearest, f"query {id_type}, neighbour {id_type}, distance double")
+        return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+    schema = f"{id_col} {id_type}, {vector_col} {vector_type}, cell int, block int"
+    asked = queries.select(id_col, vector_col)
+    first = materialise(meet(asked.mapInPandas(lambda frames: asks_for(frames, False), schema)).drop("rank"), "knn-first")
+    # The k-th distance found at home bounds what other cells can add; without k rows nothing does.
+    bounds = first.groupBy("query").agg(F.when(F.count("*") >= k, F.max("distance")).otherwise(F.lit(float("inf"))).alias("bound"))
+    bounded = asked.join(bounds, F.col(id_col) == F.col("query"), "left").select(id_col, vector_col, F.coalesce("bound", F.lit(float("inf"))).alias("bound"))
+    second = meet(bounded.mapInPandas(lambda frames: asks_for(frames, True), schema)).drop("rank")
+    if report is not None:
+        report["all"] = asked.count() * int(counts.sum())
+    return first.unionByName(second).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
 def knn_classify(queries: DataFrame, train: DataFrame, k: int = 25, id_col: str = "id", vector_col: str = "embedding",

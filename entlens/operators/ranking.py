@@ -68,7 +68,18 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: list[float], group_col
     # A null counts zero times and so holds no rank; a filter would evaluate the value expression a second time.
     counts = df.groupBy(*group_cols, F.col(value_col).alias("_value")).agg(F.count(value_col).alias("n"))
     # The counts are read for the bucket bounds, the offsets and the ranks: written once, the input is scanned once.
-    counts = materialise(counts, "quantile-counts")
+    return quantiles_of_counts(materialise(counts, "quantile-counts"), probs, group_cols, prefix)
+
+
+def column_counts(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
+    """(*by, column, _value, n): how often each value of each column occurs, for all columns in one scan; a written table."""
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_value")) for c in columns])
+    by = by or []
+    return materialise(df.select(*by, F.inline(each)).groupBy(*by, "column", "_value").agg(F.count("_value").alias("n")), "column-counts")
+
+
+def quantiles_of_counts(counts: DataFrame, probs: list[float], group_cols: list[str], prefix: str = "p") -> DataFrame:
+    """Quantiles of values `_value` that occur `n` times."""
     ranked = running_total(counts, "_value", ["n"], group_cols)
     sizes = counts.groupBy(*group_cols).agg(F.sum("n").alias("_size"))
     ranked = ranked.join(sizes, group_cols) if group_cols else ranked.withColumn("_size", sizes.scalar())

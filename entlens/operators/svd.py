@@ -84,11 +84,11 @@ def _blocks(keys, data, name: str):
     return pa.table({name: pa.array(keys, kind), "data": pa.array([d.tobytes() for d in data], pa.binary())})
 
 
-def _forward(k: int, tiles, basis):
-    """Tiles of one block of columns times its part of the basis."""
+def _forward(by: np.ndarray, tiles, basis):
+    """Tiles of one block of columns times its part of the basis, which is turned here."""
     if not tiles.num_rows or not basis.num_rows:
         return _blocks([], [], "rb")
-    q = np.frombuffer(basis.column("data")[0].as_buffer(), np.float64).reshape(-1, k)
+    q = np.frombuffer(basis.column("data")[0].as_buffer()).reshape(-1, len(by)) @ by
     rows = tiles.to_pylist()
     return _blocks([t["rb"] for t in rows], [times(*_csr(t), q) for t in rows], "rb")
 
@@ -151,13 +151,10 @@ def _turned(blocks: DataFrame, k: int, by: np.ndarray) -> DataFrame:
     return blocks.select("cb", "data").mapInArrow(turn, "cb int, data binary")
 
 
-def _orthogonal(blocks: DataFrame, k: int) -> DataFrame:
-    """The same span with orthonormal vectors; directions that are not there become zero. Twice, for accuracy."""
-    for _ in range(2):
-        values, vectors = np.linalg.eigh(_gram(blocks, None, k))
-        scale = np.where(values > 1e-13 * max(values.max(), 1e-300), 1 / np.sqrt(np.maximum(values, 1e-300)), 0.0)
-        blocks = materialise(_turned(blocks, k, vectors * scale), "svd-basis")
-    return blocks
+def _orthogonal(blocks: DataFrame, k: int) -> np.ndarray:
+    """What turns the blocks to orthonormal vectors of the same span; directions that are not there become zero."""
+    values, vectors = np.linalg.eigh(_gram(blocks, None, k))
+    return vectors * np.where(values > 1e-13 * max(values.max(), 1e-300), 1 / np.sqrt(np.maximum(values, 1e-300)), 0.0)
 
 
 def tile(df: DataFrame, rows: int = ROWS, cols: int = COLS) -> DataFrame:
@@ -165,15 +162,15 @@ def tile(df: DataFrame, rows: int = ROWS, cols: int = COLS) -> DataFrame:
     return materialise(df.select(F.col("indices").cast("array<long>").alias("indices"), "values").mapInArrow(partial(_tiles, rows=rows, cols=cols), TILE), "svd-tiles")
 
 
-def _pass(tiles: DataFrame, index: DataFrame, basis: DataFrame, k: int, cols: int, slices: int, n_cb: int) -> DataFrame:
-    """The table's transpose times the table times the basis; `index` names the tiles."""
+def _pass(tiles: DataFrame, index: DataFrame, basis: DataFrame, by: np.ndarray, cols: int, slices: int, n_cb: int) -> DataFrame:
+    """The table's transpose times the table times the turned basis; `index` names the tiles."""
     part = F.pmod(F.xxhash64("rb"), F.lit(slices))
     dealt = basis.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))))
     cut = tiles.withColumn("slice", part)
-    forward = cut.groupBy("cb", "slice").cogroup(dealt.groupBy("cb", "slice")).applyInArrow(partial(_forward, k), "rb long, data binary")
+    forward = cut.groupBy("cb", "slice").cogroup(dealt.groupBy("cb", "slice")).applyInArrow(partial(_forward, by), "rb long, data binary")
     given = materialise(_add_up(forward, "rb", n_cb), "svd-products")
     asked = index.join(given, "rb").withColumn("slice", part)
-    backward = cut.groupBy("cb", "slice").cogroup(asked.groupBy("cb", "slice")).applyInArrow(partial(_backward, k, cols), "cb int, data binary")
+    backward = cut.groupBy("cb", "slice").cogroup(asked.groupBy("cb", "slice")).applyInArrow(partial(_backward, len(by), cols), "cb int, data binary")
     return materialise(_add_up(backward, "cb", slices), "svd-sums")
 
 
@@ -195,13 +192,17 @@ def leading_vectors(df: DataFrame, width: int, k: int, passes: int = 5, oversamp
                 made[max(0, width - cb * cols):] = 0.0
                 yield pa.RecordBatch.from_arrays([pa.array([cb], pa.int32()), pa.array([made.tobytes()], pa.binary())], names=["cb", "data"])
 
-    basis = _orthogonal(materialise(spark.range(0, n_cb, 1, n_cb).mapInArrow(start, "cb int, data binary"), "svd-basis"), wide)
+    # The basis is never written turned: what turns it goes with the tasks of the next pass.
+    basis = materialise(spark.range(0, n_cb, 1, n_cb).mapInArrow(start, "cb int, data binary"), "svd-basis")
     for _ in range(passes):
-        basis = _orthogonal(_pass(tiles, index, basis, wide, cols, slices, n_cb), wide)
-    # The basis may lack blocks whose columns are empty: these are zero.
-    values, vectors = np.linalg.eigh(_gram(basis, _pass(tiles, index, basis, wide, cols, slices, n_cb), wide))
+        basis = _pass(tiles, index, basis, _orthogonal(basis, wide), cols, slices, n_cb)
+    # Once more on the turned vectors, for accuracy. The basis may lack blocks whose columns are empty: these are zero.
+    basis = materialise(_turned(basis, wide, _orthogonal(basis, wide)), "svd-basis")
+    by = _orthogonal(basis, wide)
+    product = _gram(basis, _pass(tiles, index, basis, by, cols, slices, n_cb), wide)
+    values, vectors = np.linalg.eigh(by.T @ product)
     order = np.argsort(values)[::-1][:k]
-    return materialise(_turned(basis, wide, vectors[:, order]), "svd-vectors"), np.sqrt(np.maximum(values[order], 0))
+    return materialise(_turned(basis, wide, by @ vectors[:, order]), "svd-vectors"), np.sqrt(np.maximum(values[order], 0))
 
 
 def project(df: DataFrame, name: str, out: str, basis: DataFrame, k: int, cols: int = COLS) -> DataFrame:

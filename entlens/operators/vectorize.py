@@ -33,7 +33,7 @@ REPRESENTATIONS = ("sparse", "dense", "counts")
 # What a null category is called in a fitted model; no text holds it.
 NULL_CATEGORY = "\x00null"
 #: The largest SVD basis that is sent to every task.
-SEND_BYTES = 32 << 20
+SEND_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)

@@ -251,12 +251,18 @@ def preprocessed_pairs(spark, folder):
         *[F.col(c).cast("long") for c in INT_FEATURES], *[F.round(c, 6).alias(c) for c in REAL_FEATURES])
 
 
-@query("d14_encode_texts")
+@query("d14_encode_texts", f"""WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS id, hex(' ' || lower(coalesce(text, '')) || ' ') AS hx FROM documents),
+b AS (SELECT id, list_transform(regexp_extract_all(CASE WHEN length(hx) < 6 THEN hx || '00' ELSE hx END, '..'), lambda h: CAST('0x' || h AS BIGINT)) AS bs FROM d),
+g AS (SELECT id, unnest(list_transform(generate_series(1, len(bs) - 2), lambda i: ((bs[i] * 65536 + bs[i + 1] * 256 + bs[i + 2]) * {E.SPREAD}) % 4294967296)) AS h FROM b),
+c AS (SELECT id, (h // 256) % 384 AS place, sum(CASE WHEN h >= 2147483648 THEN -1 ELSE 1 END) AS v FROM g GROUP BY 1, 2),
+n AS (SELECT id, sqrt(CAST(sum(v * v) AS DOUBLE)) AS norm, coalesce(max(v) FILTER (place = 0), 0) AS first FROM c GROUP BY 1)
+SELECT id, CAST(384 AS BIGINT) AS dims, CASE WHEN norm > 0 THEN 1.0 ELSE 0.0 END AS norm,
+round(CAST(CAST(CASE WHEN norm > 0 THEN first / norm ELSE 0 END AS FLOAT) AS DOUBLE), 6) AS first_value FROM n""")
 def encode(spark, folder):
     docs = X.documents(spark, folder).select(F.col("doc_id").cast("string").alias("id"), "text")
     vectors = E.encode_texts(docs, "id", "text")
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda acc, v: acc + v.cast("double") * v.cast("double")))
-    return vectors.select("id", F.size("embedding").alias("dims"), F.round(norm, 3).alias("norm"),
+    return vectors.select("id", F.size("embedding").cast("long").alias("dims"), F.round(norm, 3).alias("norm"),
                           F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("first_value"))
 
 

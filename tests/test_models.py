@@ -11,6 +11,7 @@ from entlens.operators import evaluate as H
 from entlens.operators import folds as P
 from entlens.operators import models as G
 from entlens.operators import vectorize as V
+from entlens.operators.store import FoldStore
 from entlens.streaming import score as stream
 
 CONFIG = G.ModelConfig(blocks=("text", "categories"), word=V.Ngrams("word", 1, 2, 1, 500), char=V.Ngrams("char", 2, 3, 2, 500), params={"C": 1.0, "max_iter": 5})
@@ -46,7 +47,7 @@ def test_a_validation_word_never_enters_the_vocabulary(frame):
 
 def test_out_of_fold_rows_occur_once(frame):
     keyed = frame.withColumns({"unique_hash": F.col("id").cast("string"), "entity": F.col("entity_norm")})
-    rows = CV.cross_validate(keyed, CONFIG).collect()
+    rows = CV.cross_validate(FoldStore(keyed, CONFIG), CONFIG).collect()
     assert sorted(int(r.unique_hash) for r in rows) == list(range(90)) and {r.predicted for r in rows} <= {0, 1, 2}
     assert all(r.score_0 + r.score_1 + r.score_2 == pytest.approx(1) for r in rows)
 
@@ -62,7 +63,7 @@ def test_null_is_a_category(spark):
     df = spark.createDataFrame([("x",)] * 3 + [(None,)] * 2 + [("y",)], "c string")
     model = V.OneHotModel(("c",), min_rows=2).fit(df)
     block = model.block()
-    got = {(r.c, tuple(r.i)) for r in df.select("c", block.indices.alias("i")).collect()}
+    got = {(r.c, tuple(r.i)) for r in model.encode(df).select("c", block.indices.alias("i")).collect()}
     assert model.width == 3 and len({i for _, i in got}) == 3
 
 

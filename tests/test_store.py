@@ -169,3 +169,16 @@ def test_manhattan_neighbours(spark):
     apart = np.abs(points[:, None] - points[None]).sum(axis=2)
     np.fill_diagonal(apart, np.inf)
     assert got == {(i, r + 1): int(j) for i in range(200) for r, j in enumerate(np.argsort(apart[i], kind="stable")[:4])}
+
+
+def test_clustered_vectors_are_hardly_compared(spark):
+    rng = np.random.default_rng(10)
+    centres = rng.normal(size=(30, 6)) * 20
+    points = np.concatenate([c + rng.normal(size=(40, 6)) for c in centres])
+    df = spark.createDataFrame([(f"r{i:04}", [float(x) for x in v]) for i, v in enumerate(points)], "id string, embedding array<double>")
+    report = {}
+    got = {(r.query, r["rank"]): r.neighbour for r in K.k_nearest(df, df, 3, report=report).collect()}
+    apart = np.sqrt(((points[:, None] - points[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(apart, np.inf)
+    assert got == {(f"r{i:04}", r + 1): f"r{int(j):04}" for i in range(len(points)) for r, j in enumerate(np.argsort(apart[i], kind="stable")[:3])}
+    assert report["all"] == 1200 * 1200 and report["pairs"] < 0.3 * report["all"]
