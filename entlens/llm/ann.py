@@ -189,6 +189,29 @@ def nearest_neighbours(vectors: DataFrame, queries, key: str = "vec_id", vec: st
     n_asks = askers.count()
     radius = _radius(askers, coded, n_asks, dim, k, index)
 
+    best = materialise(_top(_found(askers, coded, n_asks, radius, index, k), "q", k + 1, "score", "rep").select("q", "rep", "score"), "neighbours")
+    names = classes.select("rep", F.explode("ids").alias("vec_id"))
+
+    def named(best: DataFrame) -> DataFrame:
+        return best.join(names, "rep").join(asked, "q").where(F.col("vec_id") != F.col("query_id"))
+
+    # A query that found fewer than there are goes on with a wider radius, up to one that holds every code.
+    wanted = min(k, classes.agg(F.sum(F.size("ids"))).first()[0] - 1)
+    while wanted and radius < index.bits:
+        enough = named(best).groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= wanted).select("query_id")
+        short = materialise(asked.join(enough, "query_id", "left_anti").select("q").distinct(), "short-queries")
+        n_short = short.count()
+        if not n_short:
+            break
+        radius = min(index.bits, radius + max(1, radius // 2))
+        again = _found(materialise(askers.join(short, "q"), "askers"), coded, n_short, radius, index, k)
+        more = _top(again, "q", k + 1, "score", "rep").select("q", "rep", "score")
+        best = materialise(best.join(short, "q", "left_anti").unionByName(more), "neighbours")
+    return _top(named(best), "query_id", k, "score", "vec_id").select("query_id", "rank", "vec_id", "score")
+
+
+def _found(askers: DataFrame, coded: DataFrame, n_asks: int, radius: int, index: Index, k: int) -> DataFrame:
+    """(q, rep, score): for each query the k + 1 nearest codes within the radius that each part of the index holds."""
     sub = F.array(*[F.conv(F.concat(F.substring(F.hex("code"), 4 * j + 3, 2), F.substring(F.hex("code"), 4 * j + 1, 2)), 16, 10).cast("int") for j in range(index.substrings)])
     shift = index.width - index.shard_bits
     shards = [(j, p) for j in range(index.substrings) for p in range(1 << index.shard_bits)]
@@ -204,11 +227,8 @@ def nearest_neighbours(vectors: DataFrame, queries, key: str = "vec_id", vec: st
     probes = probes.where(F.bit_count(F.shiftright("value", shift).bitwiseXOR(F.col("shard"))) <= shares[F.col("j")])
     probes = probes.withColumn("part", F.explode(F.sequence(F.lit(0), parts[F.col("j")][F.col("shard")] - 1))).withColumn("q_part", F.pmod(F.xxhash64("q"), F.lit(q_parts)).cast("int"))
     at = ["j", "shard", "part", "q_part"]
-    found = probes.select(*at, "q", "vec", "code").groupBy(*at).cogroup(by_shard.select(*at, "rep", "vec", "code").groupBy(*at)).applyInArrow(
+    return probes.select(*at, "q", "vec", "code").groupBy(*at).cogroup(by_shard.select(*at, "rep", "vec", "code").groupBy(*at)).applyInArrow(
         partial(_probe, radius=radius, index=index, k=k + 1), "q long, rep long, score double")
-    best = _top(found, "q", k + 1, "score", "rep").select("q", "rep", "score")
-    named = best.join(classes.select("rep", F.explode("ids").alias("vec_id")), "rep").join(asked, "q").where(F.col("vec_id") != F.col("query_id"))
-    return _top(named, "query_id", k, "score", "vec_id").select("query_id", "rank", "vec_id", "score")
 
 
 def _sample(df: DataFrame, n: int, most: int, dim: int, key: str = "rep"):

@@ -135,6 +135,18 @@ def test_neighbours(spark):
     assert ann.nearest_neighbours(table.where("vec_id > 1999"), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_an_outlying_query_gets_all_its_neighbours(spark, monkeypatch):
+    """Queries far from all else find few codes within the radius that suits the others."""
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(np.concatenate([rng.normal(size=(1, 16)) * 0.05 + rng.normal(size=(1, 16)) for _ in range(1)] * 300 + [rng.normal(size=(4, 16)) * 9]))]
+    rows = [(i, [x + float(rng.normal()) * 0.05 for x in v]) for i, v in rows]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "_radius", lambda *_: 3)
+    got = ann.nearest_neighbours(table, (F.col("vec_id") % 100 == 0) | (F.col("vec_id") >= 300)).collect()
+    counts = Counter(r.query_id for r in got)
+    assert set(counts) == {0, 100, 200, 300, 301, 302, 303} and set(counts.values()) == {10}
+
+
 def test_toxicity(spark, odd, none):
     rng = np.random.default_rng(2)
     rows, labels = [], []
