@@ -1,8 +1,10 @@
 """Exact k nearest neighbours without comparing every pair of rows.
 
 Training rows are assigned to the nearest of a bounded set of pivots. The query's own cells are searched first, which gives a true
-k-th distance; the triangle inequality then rules out every other cell whose closest possible row is farther
-(the pivot-based kNN join of Lu et al. 2012). Cells are cut into blocks of bounded size, so a hot cell is many tasks.
+k-th distance; the triangle inequality then rules out every cell whose closest possible row is farther
+(the pivot-based kNN join of Lu et al. 2012). Neighbouring cells are packed into blocks of bounded size and a hot cell is cut into
+several, so a query moves once for each block that may hold a neighbour, not once for each cell; inside a block whole tiles of
+queries are compared at once.
 """
 
 from __future__ import annotations
@@ -15,6 +17,9 @@ from entlens.session import materialise
 
 BLOCK_ROWS = 20_000
 MOST_PIVOTS = 1024
+#: Rows whose distances to all pivots are held at once, and distances a tile of queries holds at once.
+SLICE_ROWS = 1000
+TILE_CELLS = 4_000_000
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -26,6 +31,10 @@ def _frame(id_col: str, columns: dict) -> pd.DataFrame:
     return pd.DataFrame({c: pd.Series(list(v), dtype=object) if c in (id_col, "query", "neighbour") else v for c, v in columns.items()})
 
 
+def _slices(f: pd.DataFrame, rows: int):
+    return (f.iloc[at : at + rows].reset_index(drop=True) for at in range(0, len(f), rows)) if rows else ()
+
+
 def _pairwise(a: np.ndarray, b: np.ndarray, p: int = 2) -> np.ndarray:
     """Distances by differences, in slices that bound the memory: Euclidean, or Manhattan for p = 1."""
     out = np.empty((len(a), len(b)))
@@ -36,12 +45,56 @@ def _pairwise(a: np.ndarray, b: np.ndarray, p: int = 2) -> np.ndarray:
     return out
 
 
+def _squared(a: np.ndarray, b: np.ndarray, b_norms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared Euclidean distances by one matrix product, and by how much those of a row may be wrong."""
+    a_norms = np.einsum("ij,ij->i", a, a)
+    out = a @ b.T
+    out *= -2.0
+    out += b_norms[None, :]
+    out += a_norms[:, None]
+    largest = b_norms[np.isfinite(b_norms)].max(initial=0.0)
+    slack = np.where(np.isfinite(a_norms), a_norms + largest, 0.0) * ((len(b_norms.shape) + a.shape[1]) * 1e-14)
+    return out, slack
+
+
+def _top(query, asked: np.ndarray, bound: float, row: np.ndarray, slack: float, ids: np.ndarray, matrix: np.ndarray, k: int, p: int) -> list[tuple]:
+    """The k nearest rows of a block within the bound, from approximate distances `row` (squared for p = 2); ranked by exact ones."""
+    limit = (bound * bound if p == 2 else bound) * (1 + 1e-9) + slack + 1e-18
+    few = np.flatnonzero(row <= limit) if np.isfinite(limit) else np.arange(len(row))
+    if len(few) > k + 1:
+        near = row[few]
+        if np.isnan(near).any():
+            near = np.where(np.isnan(near), np.inf, near)
+        few = few[near <= np.partition(near, k)[k] + 2 * slack]
+    if not len(few):
+        return []
+    exact = row[few] if p == 1 else _pairwise(asked[None, :], matrix[few])[0]
+    pick = np.lexsort((ids[few], exact))[: k + 1]
+    return [(query, ids[few[i]], exact[i]) for i in pick if ids[few[i]] != query][:k]
+
+
+def _packed(pivots: np.ndarray, sizes: dict[int, int], p: int) -> tuple[dict[int, int], dict[int, int]]:
+    """For each cell its first block and the number of its blocks: a chain of near cells, cut whenever BLOCK_ROWS are full."""
+    left, chain = sorted(sizes), []
+    while left:
+        d = _pairwise(pivots[chain[-1:]], pivots[left], p)[0] if chain else np.zeros(len(left))
+        chain.append(left.pop(int(d.argmin())))
+    first, spans, block, filled = {}, {}, 0, 0
+    for cell in chain:
+        spans[cell] = -(-sizes[cell] // BLOCK_ROWS)
+        if filled and (spans[cell] > 1 or filled + sizes[cell] > BLOCK_ROWS):
+            block, filled = block + 1, 0
+        first[cell] = block
+        block, filled = (block + spans[cell], 0) if spans[cell] > 1 else (block, filled + sizes[cell])
+    return first, spans
+
+
 def k_nearest(queries: DataFrame, train: DataFrame, k: int, id_col: str = "id", vector_col: str = "embedding",
               n_pivots: int | None = None, seed: int = 42, p: int = 2, report: dict | None = None) -> DataFrame:
     """(query, neighbour, distance): the k nearest training rows, the smaller id on a tie; a row is not its own neighbour.
 
     `p` is 2 for Euclidean and 1 for Manhattan distances; the triangle inequality holds for both. Pivots grow with the square root of
-    the rows, up to MOST_PIVOTS. A `report` gets the pairs compared and all pairs.
+    the rows, up to MOST_PIVOTS. A `report` gets the pairs that the bounds leave to compare, and all pairs.
     """
     if p not in (1, 2):
         raise ValueError("p is 1 or 2")
@@ -52,83 +105,110 @@ def k_nearest(queries: DataFrame, train: DataFrame, k: int, id_col: str = "id",
     id_type, vector_type = (train.schema[c].dataType.simpleString() for c in (id_col, vector_col))
 
     def assign(frames):
-        for f in frames:
-            if len(f):
+        for whole in frames:
+            for f in _slices(whole, SLICE_ROWS):
                 d = _pairwise(_matrix(f[vector_col]), pivots, p)
                 best = d.argmin(axis=1)
                 yield _frame(id_col, {id_col: f[id_col], vector_col: f[vector_col], "cell": best.astype(np.int32), "reach": d[np.arange(len(d)), best]})
 
-    cells = train.select(id_col, vector_col).mapInPandas(assign, f"{id_col} {id_type}, {vector_col} {vector_type}, cell int, reach double")
-    sized = cells.groupBy("cell").agg(F.count("*").alias("rows"), F.max("reach").alias("radius"))
-    stats = materialise(sized, "knn-cells")
-    summary = [(r["cell"], r["rows"], r["radius"]) for r in stats.collect()]  # at most n_pivots rows
-    blocks = {c: -(-n // BLOCK_ROWS) for c, n, _ in summary}
-    order = np.array([c for c, _, _ in summary])
-    counts, radius = np.array([n for _, n, _ in summary]), np.array([r for _, _, r in summary])
-    n_blocks = F.element_at(F.create_map(*[F.lit(x) for c, b in blocks.items() for x in (c, b)]), F.col("cell"))
-    cells = materialise(cells.withColumn("block", F.pmod(F.xxhash64(id_col), n_blocks).cast("int")), "knn-rows")
-
-    def asks_for(frames, later: bool):
-        """First the nearest cells that together hold more than k rows; later those that may hold a row nearer than the k-th of these."""
-        for f in frames:
-            if not len(f):
-                continue
-            d = _pairwise(_matrix(f[vector_col]), pivots[order], p)
-            rank = np.argsort(d, axis=1, kind="stable")
-            enough = np.cumsum(counts[rank], axis=1) > k
-            stop = np.where(enough.any(axis=1), enough.argmax(axis=1), len(order) - 1)
-            home = np.zeros(d.shape, bool)
-            np.put_along_axis(home, rank, np.arange(d.shape[1])[None, :] <= stop[:, None], axis=1)
-            if later:
+    cells = materialise(train.select(id_col, vector_col).mapInPandas(assign, f"{id_col} {id_type}, {vector_col} {vector_type}, cell int, reach double"), "knn-cells")
+    summary = [(r["cell"], r["rows"], r["radius"]) for r in cells.groupBy("cell").agg(F.count("*").alias("rows"), F.max("reach").alias("radius")).collect()]  # at most n_pivots rows
+    first_block, spans = _packed(pivots, {c: n for c, n, _ in summary}, p)
+    order = np.array([c for c, _, _ in summary], dtype=np.int64)
+    counts, radius = np.array([n for _, n, _ in summary], dtype=np.int64), np.array([r for _, _, r in summary], dtype=np.float64)
+    reach_of = np.zeros(len(pivots))
+    reach_of[order] = radius
+    n_blocks = max((first_block[c] + spans[c] for c in first_block), default=0)
+    holds = np.zeros((len(order), n_blocks))  # which cells have rows in a block
+    for i, c in enumerate(order):
+        holds[i, first_block[int(c)] : first_block[int(c)] + spans[int(c)]] = 1.0
+
+    def placed(values: dict[int, int]):
+        return F.element_at(F.create_map(*[F.lit(x) for c, b in values.items() for x in (c, b)]), F.col("cell"))
+
+    if summary:
+        cells = cells.withColumn("block", placed(first_block) + F.pmod(F.xxhash64(id_col), placed(spans)).cast("int"))
+    else:
+        cells = cells.withColumn("block", F.lit(0))
+
+    def home_of(f: pd.DataFrame):
+        """Distances to the pivots, and the nearest cells that together hold more than k rows."""
+        d = _pairwise(_matrix(f[vector_col]), pivots[order], p)
+        rank = np.argsort(d, axis=1, kind="stable")
+        enough = np.cumsum(counts[rank], axis=1) > k
+        stop = np.where(enough.any(axis=1), enough.argmax(axis=1), len(order) - 1)
+        return d, rank, stop
+
+    def at_home(frames):
+        for whole in frames:
+            for f in _slices(whole, SLICE_ROWS if len(order) else 0):
+                _, rank, stop = home_of(f)
+                rows = [(q, v, cell) for q, v, r, s in zip(f[id_col], f[vector_col], rank, stop) for cell in order[r[: s + 1]].tolist()]
+                yield _frame(id_col, {c: [r[i] for r in rows] for i, c in enumerate([id_col, vector_col, "cell"])})
+
+    def abroad(frames):
+        """A row for each block with a cell that may hold a row within the bound."""
+        for whole in frames:
+            for f in _slices(whole, max(1, min(SLICE_ROWS, 50_000 // max(1, n_blocks))) if len(order) else 0):
+                d = _pairwise(_matrix(f[vector_col]), pivots[order], p)
                 bound = f["bound"].to_numpy(dtype=np.float64)
-                keep = ~home & (d - radius[None, :] <= bound[:, None] + 1e-9 * (1 + bound[:, None]))
-            else:
-                keep = home
-            rows = [(q, v, int(order[j]), b) for i, (q, v) in enumerate(zip(f[id_col], f[vector_col]))
-                    for j in np.flatnonzero(keep[i]) for b in range(blocks[int(order[j])])]
-            yield _frame(id_col, {c: [r[i] for r in rows] for i, c in enumerate([id_col, vector_col, "cell", "block"])})
-
-    def nearest(key, ask: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+                keep = d - radius[None, :] <= bound[:, None] + 1e-9 * (1 + bound[:, None])
+                at, block = np.nonzero(keep.astype(np.float64) @ holds > 0)
+                left = keep.astype(np.float64) @ (holds * (counts / holds.sum(axis=1))[:, None])
+                yield _frame(id_col, {id_col: f[id_col].to_numpy()[at], vector_col: f[vector_col].to_numpy()[at], "bound": bound[at],
+                                      "home": order[d.argmin(axis=1)][at].astype(np.int32), "block": block.astype(np.int32), "left": left[at, block]})
+
+    def nearest(ask: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(ask) and len(rows):
-            ids, matrix, asked = rows[id_col].to_numpy(), _matrix(rows[vector_col]), _matrix(ask[vector_col])
-            step = max(1, 4_000_000 // max(1, matrix.size))
+            rows = rows.sort_values("cell", kind="stable")
+            here, starts = np.unique(rows["cell"].to_numpy(), return_index=True)
+            ends = np.append(starts[1:], len(rows))
+            ids, matrix = rows[id_col].to_numpy(), _matrix(rows[vector_col])
+            norms = np.einsum("ij,ij->i", matrix, matrix)
+            if "home" in ask:
+                ask = ask.sort_values("home", kind="stable")
+            step = max(1, TILE_CELLS // len(matrix))
             for at in range(0, len(ask), step):
-                for q, d in zip(ask[id_col].iloc[at : at + step], _pairwise(asked[at : at + step], matrix, p)):
-                    few = np.flatnonzero(d <= np.partition(d, k)[k]) if len(d) > k + 1 else np.arange(len(d))
-                    pick = few[np.lexsort((ids[few], d[few]))][: k + 1]
-                    out += [(q, ids[i], d[i]) for i in pick if ids[i] != q][:k]
+                tile = ask.iloc[at : at + step]
+                asked = _matrix(tile[vector_col])
+                bound = tile["bound"].to_numpy(dtype=np.float64) if "bound" in ask else np.full(len(tile), np.inf)
+                open_cells = (_pairwise(asked, pivots[here], p) - reach_of[here][None, :] <= (bound + 1e-9 * (1 + bound))[:, None]).any(axis=0)
+                some = slice(None) if open_cells.all() else np.concatenate([np.arange(s, e) for s, e in zip(starts[open_cells], ends[open_cells])] or [np.empty(0, np.int64)])
+                ids_t, matrix_t = ids[some], matrix[some]
+                if not len(ids_t):
+                    continue
+                d, slack = _squared(asked, matrix_t, norms[some]) if p == 2 else (_pairwise(asked, matrix_t, p), np.zeros(len(tile)))
+                for i, q in enumerate(tile[id_col]):
+                    out += _top(q, asked[i], bound[i], d[i], slack[i], ids_t, matrix_t, k, p)
         return _frame(id_col, {c: [r[i] for r in out] if out else np.empty(0) for i, c in enumerate(["query", "neighbour", "distance"])})
 
-    keys = ["cell", "block", "part"]
     best = Window.partitionBy("query").orderBy("distance", "neighbour")
 
-    def meet(asks: DataFrame) -> DataFrame:
-        """The queries of a block are cut into parts of bounded size too; a block is repeated only as often as it has parts, and one
-        that nobody asks for is dropped."""
-        asks = materialise(asks, "knn-asks")
-        wanted = materialise(asks.groupBy("cell", "block").agg(F.count("*").alias("asks"), F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts")), "knn-parts")
-        if report is not None:
-            sizes = cells.groupBy("cell", "block").agg(F.count("*").alias("rows"))
-            done = wanted.join(sizes, ["cell", "block"]).agg(F.sum(F.col("asks") * F.col("rows"))).first()[0] or 0
-            report["pairs"] = report.get("pairs", 0) + done
-        parts = wanted.drop("asks")
-        asks = asks.join(parts, ["cell", "block"]).withColumn("part", F.pmod(F.xxhash64(id_col), F.col("parts")).cast("int")).drop("parts")
-        copies = cells.select(id_col, vector_col, "cell", "block").join(parts, ["cell", "block"]).withColumn(
-            "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-        found = asks.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInPandas(nearest, f"query {id_type}, neighbour {id_type}, distance double")
-        return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-
-    schema = f"{id_col} {id_type}, {vector_col} {vector_type}, cell int, block int"
+    def meet(asks: DataFrame, place: str) -> DataFrame:
+        """The asks of a cell or block are cut into parts of bounded size, and so are the rows of a cell; both are repeated only as often
+        as the other has parts."""
+        sizes = cells.groupBy(place).agg(F.greatest(F.round(F.count("*") / BLOCK_ROWS), F.lit(1)).cast("int").alias("cuts"))
+        parts = materialise(asks.groupBy(place).agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts")).join(sizes, place), "knn-parts")
+        asks = asks.join(F.broadcast(parts), place).withColumn("part", F.pmod(F.xxhash64(id_col), F.col("parts")).cast("int")).withColumn(
+            "cut", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).drop("parts", "cuts")
+        copies = cells.select(id_col, vector_col, "cell", *{"block": ["block"]}.get(place, [])).join(F.broadcast(parts), place).withColumn(
+            "cut", F.pmod(F.xxhash64(F.lit("cut"), id_col), F.col("cuts")).cast("int")).withColumn(
+            "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts", "cuts")
+        keys = [place, "part", "cut"]
+        return asks.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInPandas(nearest, f"query {id_type}, neighbour {id_type}, distance double")
+
     asked = queries.select(id_col, vector_col)
-    first = materialise(meet(asked.mapInPandas(lambda frames: asks_for(frames, False), schema)).drop("rank"), "knn-first")
-    # The k-th distance found at home bounds what other cells can add; without k rows nothing does.
+    homes = materialise(asked.mapInPandas(at_home, f"{id_col} {id_type}, {vector_col} {vector_type}, cell int"), "knn-asks")
+    first = meet(homes, "cell").withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    # The k-th distance found at home bounds what any cell can add; without k rows nothing does.
     bounds = first.groupBy("query").agg(F.when(F.count("*") >= k, F.max("distance")).otherwise(F.lit(float("inf"))).alias("bound"))
     bounded = asked.join(bounds, F.col(id_col) == F.col("query"), "left").select(id_col, vector_col, F.coalesce("bound", F.lit(float("inf"))).alias("bound"))
-    second = meet(bounded.mapInPandas(lambda frames: asks_for(frames, True), schema)).drop("rank")
+    asks = materialise(bounded.mapInPandas(abroad, f"{id_col} {id_type}, {vector_col} {vector_type}, bound double, home int, block int, left double"), "knn-asks")
     if report is not None:
+        report["pairs"] = asks.agg(F.sum("left")).first()[0] or 0
         report["all"] = asked.count() * int(counts.sum())
-    return first.unionByName(second).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return meet(asks.drop("left"), "block").withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
 def knn_classify(queries: DataFrame, train: DataFrame, k: int = 25, id_col: str = "id", vector_col: str = "embedding",

@@ -172,3 +172,20 @@ def test_clustered_vectors_are_hardly_compared(spark):
     np.fill_diagonal(apart, np.inf)
     assert got == {(f"r{i:04}", r + 1): f"r{int(j):04}" for i in range(len(points)) for r, j in enumerate(np.argsort(apart[i], kind="stable")[:3])}
     assert report["all"] == 1200 * 1200 and report["pairs"] < 0.3 * report["all"]
+
+
+def test_neighbour_search_moves_a_query_once_a_block(spark, monkeypatch):
+    monkeypatch.setattr(K, "SLICE_ROWS", 7)
+    monkeypatch.setattr(K, "BLOCK_ROWS", 50)
+    moved = []
+    keep = K.materialise
+    monkeypatch.setattr(K, "materialise", lambda df, label, **more: moved.append((label, keep(df, label, **more))) or moved[-1][1])
+    points = np.random.default_rng(11).normal(size=(400, 8))
+    points[100:240] = points[100]  # one vector that fills more than two blocks
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(points)], "id long, embedding array<double>").repartition(3)
+    got = {(r.query, r["rank"]): r.neighbour for r in K.k_nearest(df, df, 4, n_pivots=100).collect()}
+    apart = np.sqrt(((points[:, None] - points[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(apart, np.inf)
+    assert got == {(i, r + 1): int(j) for i in range(400) for r, j in enumerate(np.argsort(apart[i], kind="stable")[:4])}
+    asks = [table.count() for label, table in moved if label == "knn-asks"]
+    assert asks[-1] <= 400 * 16  # no more than blocks, where each of 100 cells was a row
