@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 #: Tokens, and entries of character n-grams, that a task holds at once (one text more at most).
 PIECE_TOKENS = 1_000_000
 PIECE_ENTRIES = 4_000_000
+#: Rows whose terms are put together at once before they go back to Arrow.
+ROWS_AT_ONCE = 1_000
 #: Longer tokens are cut one by one, since slicing a column costs a call for each place in the longest.
 LONG_TOKEN = 48
 
@@ -186,6 +188,10 @@ def _rows(n: int, pieces, build) -> pa.Array:
     return pa.StructArray.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(c)) for c in columns.values()], names=list(columns))
 
 
+def _sliced(lists: pa.Array, build) -> pa.Array:
+    return pa.concat_arrays([build(lists.slice(at, ROWS_AT_ONCE)) for at in range(0, max(1, len(lists)), ROWS_AT_ONCE)])
+
+
 def unit_weights(row: np.ndarray, tf: np.ndarray, idf: np.ndarray, n: int) -> np.ndarray:
     """(1 + ln tf) * idf, scaled to unit length within each row."""
     weight = (np.log(tf) + 1) * idf
@@ -195,14 +201,14 @@ def unit_weights(row: np.ndarray, tf: np.ndarray, idf: np.ndarray, n: int) -> np
 
 def weighted(lists: pa.Array, kind: str, low: int, high: int, known: pa.Array, idf: np.ndarray) -> pa.Array:
     """struct(indices, values) of each list of tokens."""
-    return _rows(len(lists), counted(lists, kind, low, high, known), lambda row, term, tf, n: {
-        "indices": term.astype(np.int32), "values": unit_weights(row, tf, idf[term], n)})
+    return _sliced(lists, lambda part: _rows(len(part), counted(part, kind, low, high, known), lambda row, term, tf, n: {
+        "indices": term.astype(np.int32), "values": unit_weights(row, tf, idf[term], n)}))
 
 
 def numbered(lists: pa.Array, kind: str, low: int, high: int, known: pa.Array) -> pa.Array:
     """struct(ids, counts) of each list of tokens."""
-    return _rows(len(lists), counted(lists, kind, low, high, known), lambda row, term, tf, n: {
-        "ids": term.astype(np.int32), "counts": tf.astype(np.float64)})
+    return _sliced(lists, lambda part: _rows(len(part), counted(part, kind, low, high, known), lambda row, term, tf, n: {
+        "ids": term.astype(np.int32), "counts": tf.astype(np.float64)}))
 
 
 def numbering(spark, listed: list[str], spec):

@@ -21,6 +21,11 @@ TEXTS = ["a bc  abc abc", "", None, "Ünïcode \U0001f600x naïve ab", "z" * 130
 def test_terms_of_batches_are_those_of_each_text(spark, monkeypatch, spec, most):
     monkeypatch.setattr(T, "PIECE_TOKENS", most)
     monkeypatch.setattr(T, "PIECE_ENTRIES", most)
+    known = pa.array(["a", "abc", "zz"])
+    lists = pa.array([["a", "a", "no"], None, [], ["zz", "abc"]], pa.list_(pa.string()))
+    whole = T.numbered(lists, "word", 1, 1, known)
+    monkeypatch.setattr(T, "ROWS_AT_ONCE", 2)
+    assert T.numbered(lists, "word", 1, 1, known).to_pylist() == whole.to_pylist()
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "i int, t string").coalesce(1)
     want = {(r.i, r.term): r.tf for r in rows.select("i", F.explode(V.run_lengths(spec.terms(F.col("t")))).alias("e")).select("i", "e.*").collect()}
     got = {}
