@@ -189,3 +189,30 @@ def test_neighbour_search_moves_a_query_once_a_block(spark, monkeypatch):
     assert got == {(i, r + 1): int(j) for i in range(400) for r, j in enumerate(np.argsort(apart[i], kind="stable")[:4])}
     asks = [table.count() for label, table in moved if label == "knn-asks"]
     assert asks[-1] <= 400 * 16  # no more than blocks, where each of 100 cells was a row
+
+
+def test_products_stay_in_small_pieces():
+    import tracemalloc
+
+    rng = np.random.default_rng(9)
+    for rows, width, each, k in ((30_000, 500, 2, 100), (40, 500, 300, 100)):
+        cols = np.concatenate([np.sort(rng.choice(width, each, replace=False)) for _ in range(rows)])
+        starts, vals, basis = np.arange(rows + 1) * each, rng.normal(size=rows * each), rng.normal(size=(width, k))
+        dense = np.zeros((rows, width))
+        dense[np.repeat(np.arange(rows), each), cols] = vals
+        tracemalloc.start()
+        made = svd.times(starts, cols, vals, basis)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert np.allclose(made, dense @ basis) and peak < made.nbytes + (8 << 20)
+
+
+def test_gram_products_move_as_blocks(spark, monkeypatch):
+    monkeypatch.setattr(V, "SUM_ROWS", 10)
+    rng = np.random.default_rng(10)
+    dense = rng.normal(size=(40, 37)) * (rng.random((40, 37)) < 0.3)
+    dense[:, 10:20] = 0  # a block without an entry
+    rows = [([int(j) for j in np.flatnonzero(r)], [float(r[j]) for j in np.flatnonzero(r)]) for r in dense] + [(None, None)]
+    df = spark.createDataFrame(rows, "indices array<int>, values array<double>").repartition(3)
+    basis = rng.normal(size=(37, 4))
+    assert np.allclose(V.SvdModel._gram_times(df, basis), dense.T @ (dense @ basis))
