@@ -142,25 +142,34 @@ def indel_ratio(a: Column, b: Column) -> Column:
 def fuzzy_candidates(text: Column, name: Column) -> Column:
     """Distinct word spans as long as the name (in parts), same first character, length within two."""
     tokens = F.regexp_extract_all(F.lower(text), F.lit(FUZZY_WORD), F.lit(0))
-    first, parts = F.substring(name, 1, 1), F.size(F.split(name, " "))
+    facts = F.struct(F.substring(name, 1, 1).alias("first"), F.size(F.split(name, " ")).alias("parts"), F.length(name).alias("size"))
 
-    def spans(w: Column) -> Column:
+    def near(c: Column, f: Column) -> Column:
+        return F.abs(F.length(c) - f["size"]) <= 2
+
+    def spans(w: Column, f: Column) -> Column:
         starts = F.filter(
-            F.sequence(F.lit(1), F.size(w) - parts + 1), lambda i: F.element_at(w, i).startswith(first))
-        joined = F.transform(starts, lambda i: F.array_join(F.slice(w, i, parts), " "))
-        near = F.filter(joined, lambda c: F.abs(F.length(c) - F.length(name)) <= 2)
-        return F.when(F.size(w) >= parts, F.array_distinct(near)).otherwise(F.array().cast("array<string>"))
+            F.sequence(F.lit(1), F.size(w) - f["parts"] + 1), lambda i: F.element_at(w, i).startswith(f["first"]))
+        joined = F.transform(starts, lambda i: F.array_join(F.slice(w, i, f["parts"]), " "))
+        alone = F.filter(w, lambda c: c.startswith(f["first"]) & near(c, f))
+        return F.when(F.size(w) < f["parts"], F.array().cast("array<string>")).when(f["parts"] == 1, F.array_distinct(alone)).otherwise(
+            F.array_distinct(F.filter(joined, lambda c: near(c, f))))
 
-    return let(tokens, spans)
+    # What the name alone decides is worked out once a row, not for each word.
+    return let(facts, lambda f: let(tokens, lambda w: spans(w, f)))
 
 
 def best_alias(text: Column, name: Column, threshold: float) -> Column:
     """struct(score, alias) of the closest spelling at or above the threshold, else null. Ties: smallest alias."""
-    scored = F.transform(
-        fuzzy_candidates(text, name),
-        lambda c: F.struct((-indel_ratio(name, c)).alias("neg_score"), c.alias("alias")))
-    best = F.array_min(F.filter(scored, lambda s: s["neg_score"] <= F.lit(-float(threshold))))
-    return F.when(best.isNotNull(), F.struct((-best["neg_score"]).alias("score"), best["alias"].alias("alias")))
+
+    def closest(n: Column) -> Column:
+        scored = F.transform(
+            fuzzy_candidates(text, n),
+            lambda c: F.struct((-indel_ratio(n, c)).alias("neg_score"), c.alias("alias")))
+        return F.array_min(F.filter(scored, lambda s: s["neg_score"] <= F.lit(-float(threshold))))
+
+    return let(let(name, closest), lambda best: F.when(
+        best.isNotNull(), F.struct((-best["neg_score"]).alias("score"), best["alias"].alias("alias"))))
 
 
 def around(anchors: Column, radius: Column, last: Column) -> Column:

@@ -80,3 +80,11 @@ def test_common_subsequence_against_brute_force(spark):
     df = spark.createDataFrame([(a, b) for a in words for b in words], "a string, b string")
     for r in df.select("a", "b", M.lcs_length(F.col("a"), F.col("b")).alias("n")).collect():
         assert r.n == brute_lcs(r.a, r.b), (r.a, r.b)
+
+
+def test_spellings_are_looked_for_once_a_row(spark):
+    df = spark.createDataFrame([("thanedbel sat, tanedble-x thanedble", "thanedble"), ("new yorc and new york city", "New-York"), ("", "a"), (None, "b"), ("x", None)], "text string, entity string")
+    best = M.best_alias(F.col("text"), M.normalise_name("entity"), 80.0)
+    plan = df.select(best.alias("b"))
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    assert [r.b and (round(r.b.score, 3), r.b.alias) for r in plan.collect()] == [(100.0, "thanedble"), (100.0, "new york"), None, None, None]
