@@ -99,3 +99,33 @@ def test_restarted_stream_gives_each_row_once(spark, frame, tmp_path):
         pairs = stream.pair_stream(spark, source, rows.schema)
         stream.run_available(stream.score_stream(pairs, model, lambda df: df, ["id"], sink))
         assert sorted(r.id for r in spark.read.parquet(sink).select("id").collect()) == list(range(high))
+
+
+def test_iterative_fits_use_the_cores_that_are_free(spark, tmp_path):
+    from entlens.sources.tables import pack
+
+    path = str(tmp_path / "t")
+    spark.range(0, 2_400_000, 1, 8).select(F.rand(1).alias("x")).write.parquet(path)
+    table = spark.read.parquet(path)
+    alone, shared = (pack(table, at_once=n).rdd.getNumPartitions() for n in (1, 8))
+    assert alone == 2 and shared == 1
+    assert pack(table.limit(1)).rdd.getNumPartitions() == 1
+
+
+def test_stream_batches_are_dealt_over_the_cores(spark, tmp_path, monkeypatch):
+    from types import SimpleNamespace
+
+    from entlens.streaming import score
+
+    source, sink, seen = str(tmp_path / "in"), str(tmp_path / "out"), []
+    spark.range(0, 40, 1, 2).select(F.col("id").cast("string").alias("unique_hash")).write.parquet(source)
+
+    def prepare(batch):
+        seen.append(batch.rdd.getNumPartitions())
+        return batch
+
+    monkeypatch.setattr(score, "predict", lambda model, rows, keep: rows.select(*keep))
+    model = SimpleNamespace(model=None, features=SimpleNamespace(transform=lambda rows, keep, label: rows))
+    score.run_available(score.score_stream(score.pair_stream(spark, source, "unique_hash string"), model, prepare, ["unique_hash"], sink))
+    assert seen == [spark.sparkContext.defaultParallelism] * 2
+    assert sorted(int(r[0]) for r in spark.read.parquet(sink).select("unique_hash").collect()) == list(range(40))
