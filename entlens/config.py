@@ -35,3 +35,6 @@ LABELS = LabelConfig()
 
 # A lexicon up to this many names is held as a literal inside the plan; a larger one is joined as a table.
 MAX_LITERAL_NAMES = 5000
+
+# Up to this many names are searched for in a text one by one; more are looked up by the keys of the text's runs.
+MAX_SCANNED_NAMES = 64

@@ -7,11 +7,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from entlens.functions.text import WS, WS_CHARS, let, outside, plain_spaces, strip, words
+from entlens.functions.text import WS, WS_CHARS, holds, let, outside, plain_spaces, strip, words
 
 # The separators, token and edge characters the match rule is defined over.
 SEP = rf"[{WS}\-]"
-SENTENCE_BREAK = rf"(?<=[.!?])[{WS}]+|(?<=[a-z][.!?])(?=[A-Z])|\n+"
+SENTENCE_END = rf"[.!?](?:(?=[{WS}])|(?<=[a-z].)(?=[A-Z]))"
+RARE_WS = "".join(x for x in WS_CHARS if x not in " \n")
 EDGE_PUNCTUATION = ".,;:!?()[]{}\"'"
 FUZZY_WORD = r"[a-z0-9][a-z0-9\-]*"
 MAX_BIT_WIDTH = 62
@@ -79,7 +80,13 @@ def loose_parts(text: Column | str, lengths: list[int]) -> Column:
 
 
 def split_sentences(text: Column | str) -> Column:
-    return F.filter(F.transform(F.split(_col(text), SENTENCE_BREAK), strip), lambda s: s != "")
+    """A sentence ends at its last mark before white space, at one between a small and a capital letter, and at a line break. The pattern
+    starts with the mark, so little is tried elsewhere, and only a text with white space beyond blanks is stripped of all of it."""
+    def cut(t: Column) -> Column:
+        lines = F.split(F.regexp_replace(t, SENTENCE_END, "$0\n"), "\n")
+        return F.when(holds(t, RARE_WS), F.transform(lines, strip)).otherwise(F.transform(lines, lambda s: F.trim(s)))
+
+    return F.array_remove(let(_col(text), cut), "")
 
 
 def first_offset(text: Column, pattern: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
@@ -20,7 +21,9 @@ WORD_CHAR = r"[\p{L}\p{N}_]"
 TAG = r"</?[a-zA-Z][^>]{0,200}>"
 URL = rf"(?i)https?://[^{WS}]+|www\.[^{WS}]+"
 URL_NOISE = ("www", "com", "org", "net", "html", "htm", "php", "asp", "aspx")
-JUNK = r"[\uFFFD\u200B\u00AD]"
+#: One of these stands in every link.
+URL_MARKS = ("://", "ww.", "wW.", "Ww.", "WW.")
+JUNK_CHARS = "\uFFFD\u200B\u00AD"
 NEGATIONS = ("not", "no", "never", "nor", "cannot")
 NEGATION_CUES = (
     "no", "not", "never", "none", "nor", "cannot", "cant", "don't", "didn't", "doesn't", "wasn't", "isn't", "won't",
@@ -60,19 +63,48 @@ def strip(c: Column | str) -> Column:
 def plain_spaces(c: Column | str, keep: str = "", also: str = "") -> Column:
     """White space (but `keep`) and the characters of `also` become plain spaces.
 
-    A per-character map followed by a plain-space pattern is far cheaper than one pattern over a wide class.
+    Line breaks and the characters of `also` are common and replaced at once. The others are searched for first: only a text that holds
+    one goes through the per-character map.
     """
-    chars = "".join(x for x in WS_CHARS if x not in " " + keep) + also
-    return F.translate(_col(c), chars, " " * len(chars))
+    chars = [x for x in WS_CHARS if x not in " " + keep]
+    rare = "".join(x for x in chars if x != "\n")
+    c = _col(c)
+    for x in [x for x in chars if x == "\n"] + list(also):
+        c = F.replace(c, F.lit(x), F.lit(" "))
+    return where_held(c, rare, lambda t: F.translate(t, rare, " " * len(rare)))
+
+
+def holds(c: Column, parts) -> Column:
+    """Whether a text holds one of the parts: searches for bytes, far cheaper than a pattern. Parts beyond ASCII are looked for only in texts
+    beyond ASCII, and there behind the first two bytes that many of them share."""
+    plain, wide = [x for x in parts if x.isascii()], [x for x in parts if not x.isascii()]
+    tests = [c.contains(x) for x in plain]
+    if wide:
+        starts = sorted({x.encode()[:2] for x in wide})
+        tests.append((F.octet_length(c) != F.length(c)) & _any([c.cast("binary").contains(F.lit(x)) for x in starts]) & _any([c.contains(x) for x in wide]))
+    return _any(tests)
+
+
+def _any(tests: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, tests)
+
+
+def where_held(c: Column | str, parts, change) -> Column:
+    """`change` of the texts that hold one of the parts; it leaves the others as they are, so they are not put through it."""
+    return let(_col(c), lambda t: F.when(holds(t, parts), change(t)).otherwise(t))
+
+
+def single_spaces(c: Column | str) -> Column:
+    return where_held(c, ("  ",), lambda t: F.regexp_replace(t, " {2,}", " "))
 
 
 def collapse(c: Column | str) -> Column:
     """Every run of white space becomes one space; the ends are trimmed."""
-    return F.trim(F.regexp_replace(plain_spaces(c), " {2,}", " "))
+    return F.trim(single_spaces(plain_spaces(c)))
 
 
 def words(c: Column | str) -> Column:
-    return F.filter(F.split(plain_spaces(c), " +"), lambda w: w != "")
+    return F.array_remove(F.split(plain_spaces(c), " "), "")
 
 
 def word_count(c: Column | str) -> Column:
@@ -102,7 +134,7 @@ def unescape_html(c: Column | str) -> Column:
 
 
 def strip_tags(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), TAG, " ")
+    return where_held(c, ("<",), lambda t: F.regexp_replace(t, TAG, " "))
 
 
 def _bad_brackets(host: Column) -> Column:
@@ -124,21 +156,24 @@ def url_words(link: Column | str) -> Column:
 
 def replace_urls(c: Column | str) -> Column:
     """Text pieces and the words of the links between them, put back together in order."""
-    c = _col(c)
-    pieces = F.split(c, URL, -1)
-    links = F.transform(F.regexp_extract_all(c, F.lit(URL), F.lit(0)), url_words)
-    woven = F.flatten(F.zip_with(pieces, links, lambda text, link: F.array(text, F.coalesce(link, F.lit("")))))
-    return F.when(c.rlike(URL), F.array_join(woven, "")).otherwise(c)
+    def weave(c: Column) -> Column:
+        pieces = F.split(c, URL, -1)
+        links = F.transform(F.regexp_extract_all(c, F.lit(URL), F.lit(0)), url_words)
+        woven = F.flatten(F.zip_with(pieces, links, lambda text, link: F.array(text, F.coalesce(link, F.lit("")))))
+        return F.when(c.rlike(URL), F.array_join(woven, "")).otherwise(c)
+
+    return where_held(c, URL_MARKS, weave)
 
 
 def replace_junk(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), JUNK, " ")
+    return where_held(c, JUNK_CHARS, lambda t: F.translate(t, JUNK_CHARS, " " * len(JUNK_CHARS)))
 
 
 def collapse_lines(c: Column | str) -> Column:
     """Collapse white space but keep one line break where there was any: it marks a sentence boundary."""
-    c = F.regexp_replace(plain_spaces(c, keep="\n"), " {2,}", " ")
-    return F.btrim(F.regexp_replace(c, " ?\n[ \n]*", "\n"), F.lit(" \n"))
+    c = single_spaces(plain_spaces(c, keep="\n"))
+    c = where_held(c, (" \n", "\n ", "\n\n"), lambda t: F.regexp_replace(t, " ?\n[ \n]*", "\n"))
+    return F.btrim(c, F.lit(" \n"))
 
 
 def clean_minimal(c: Column | str) -> Column:

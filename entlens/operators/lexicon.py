@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from entlens.config import MAX_LITERAL_NAMES
+from entlens.config import MAX_LITERAL_NAMES, MAX_SCANNED_NAMES
 from entlens.functions.bloom import KeyFilter
 from entlens.functions.match import loose_parts, name_key, name_parts, normalise_name, text_keys
 from entlens.functions.text import let
@@ -73,6 +75,8 @@ class Lexicon:
         """Names the text can hold, with their canonical names; exact verification is left to the name pattern."""
         if not self.is_literal:
             raise ValueError("this lexicon is too large for a literal; use with_candidates on a DataFrame")
+        if len(self.rows) <= MAX_SCANNED_NAMES:
+            return let(F.lower(text), self._scanned)
         by_key: dict[str, list[dict]] = {}
         loose: list[dict] = []
         for row in self.rows:
@@ -90,6 +94,16 @@ class Lexicon:
             found = F.concat(found, F.filter(listed, lambda e: low.contains(first_part(e["name"]))))
         return F.sort_array(found)
 
+    def _scanned(self, low: Column) -> Column:
+        """A few names are searched for one by one: every run of letters and digits of a name stands in a text that holds it."""
+        found = F.array().cast(CANDIDATE)
+        if self.rows:
+            found = F.array_compact(F.array(*[
+                F.when(reduce(lambda a, b: a & b, [low.contains(run) for run in scanned_for(row["name"])]),
+                       F.struct(F.lit(row["name"]).alias("name"), F.lit(row["canonical"]).alias("canonical")))
+                for row in self.rows]))
+        return F.sort_array(found)
+
     def members_of(self, name: Column) -> Column:
         """Synonyms of a normalised name, itself when it has none."""
         grouped = {r["name"]: r["members"] for r in self.rows if r["members"] != [r["name"]]}
@@ -121,6 +135,11 @@ def with_candidates(df: DataFrame, lexicon: Lexicon, id_col: str, text_col: str
     return df.join(found, id_col, "left").withColumn("candidates", F.coalesce("candidates", F.array().cast(CANDIDATE)))
 
 
+def scanned_for(name: str) -> list[str]:
+    """What a lower-cased text must hold to hold the name, wherever separators stand: its runs of letters and digits, else its first part."""
+    return re.findall("[a-z0-9]+", name) or [name.split(" ")[0]]
+
+
 def first_part(name: Column) -> Column:
     return F.split(name, " ")[0]
 
