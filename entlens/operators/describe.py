@@ -15,28 +15,30 @@ def text_key(text: Column | str) -> Column:
     return F.coalesce(F.sha2(text, 256), F.lit(""))
 
 
-def entities_per_text(df: DataFrame, text_col: str = "text", entity_col: str = "entity") -> DataFrame:
-    """Add the number of distinct entities that share a row's text.
+def entities_per_text(df: DataFrame, text_col: str = "text", entity_col: str = "entity", keep: list[str] | None = None) -> DataFrame:
+    """Add the number of distinct entities that share a row's text to the columns `keep` (all, if not given).
 
     Distinct (text, entity) pairs are counted per text before the join; a text copied very often is one row there, and
-    the adaptive skew join splits its copies.
+    the adaptive skew join splits its copies. Both sides read a table of digests and kept columns, so the rows are made once.
     """
-    keyed = df.withColumn("_text_key", text_key(text_col))
+    kept = list(keep or df.columns)
+    keyed = materialise(df.select(*dict.fromkeys([*kept, entity_col]), text_key(text_col).alias("_text_key")), "text-keys")
     counts = keyed.select("_text_key", entity_col).distinct().groupBy("_text_key").agg(
         F.count("*").alias("entities_sharing_text"))
-    return keyed.join(counts, "_text_key").drop("_text_key")
+    return keyed.join(counts, "_text_key").select(*kept, "entities_sharing_text")
 
 
-def text_statistics(df: DataFrame, text_col: str = "text", entity_col: str = "entity") -> DataFrame:
+def text_statistics(df: DataFrame, text_col: str = "text", entity_col: str = "entity", keep: list[str] | None = None) -> DataFrame:
+    """Length, mentions, sentences and sharing of every pair, beside the columns `keep` (all, if not given)."""
     text, name = F.col(text_col), F.col(entity_col)
-    df = df.withColumns({
+    found = {
         "word_count": word_count(text),
         "char_count": F.length(text),
         "mention_count": literal_mentions(text, name),
         "first_mention_word": first_mention_word(text, name),
         "entity_sentences": entity_sentences(text, name),
-    })
-    return entities_per_text(df, text_col, entity_col)
+    }
+    return entities_per_text(df.withColumns(found), text_col, entity_col, [*dict.fromkeys([*(keep or df.columns), *found])])
 
 
 def table_profile(train: DataFrame, test: DataFrame, id_col: str, text_col: str, entity_col: str, label_col: str) -> DataFrame:

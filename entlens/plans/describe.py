@@ -13,18 +13,19 @@ from entlens.plans import context as PC
 from entlens.plans import fixtures as X
 from entlens.plans import rows as PR
 from entlens.plans.registry import query
+from entlens.session import materialise
 
 LABELS = [0, 1, 2]
 
 
 def labelled_pairs(spark, folder):
-    lab = X.labelled(spark, folder).select("doc_id", "sentiment")
-    return X.pairs(spark, folder).select("unique_hash", "doc_id", "text", "entity").join(lab, "doc_id")
+    lab = X.labelled(spark, folder).select("doc_id", "text", "sentiment")
+    return X.pairs(spark, folder, lab).select("unique_hash", "doc_id", "text", "entity", "sentiment")
 
 
 def unlabelled_pairs(spark, folder):
-    return X.pairs(spark, folder).select("unique_hash", "doc_id", "text", "entity").join(
-        X.table(spark, folder, "labels").select("doc_id"), "doc_id", "left_anti")
+    rest = X.documents(spark, folder).select("doc_id", "text").join(X.table(spark, folder, "labels").select("doc_id"), "doc_id", "left_anti")
+    return X.pairs(spark, folder, rest).select("unique_hash", "doc_id", "text", "entity")
 
 
 LABPAIR = f"""{X.PAIR}, {X.LAB}, labpair AS (SELECT p.unique_hash, p.doc_id, p.text, p.entity, l.sentiment FROM pair p JOIN lab l USING (doc_id)),
@@ -188,7 +189,8 @@ def _first_words(spark, folder):
 @query("i12_first_mention_summary", f"""WITH {FIRST_WORDS} SELECT round(avg((first_word >= 0)::INT), 6) AS share_found, round(avg((first_word > 380)::INT), 6) AS share_late,
 {", ".join(f"round(quantile_cont(first_word, {p}) FILTER (first_word >= 0), 6) AS p{p * 100:g}" for p in (0.5, 0.9, 0.95))} FROM fw""")
 def first_mention(spark, folder):
-    return _round_all(D.first_mention_summary(_first_words(spark, folder), "first_word"), [])
+    words = materialise(_first_words(spark, folder), "first-words")  # read for the quantiles and for the shares
+    return _round_all(D.first_mention_summary(words, "first_word"), [])
 
 
 @query("i13_survival_curve", f"""WITH {FIRST_WORDS}, c AS (SELECT first_word, count(*) AS n FROM fw GROUP BY 1)
@@ -219,13 +221,13 @@ def once_and_often(spark, folder):
 @query("i15_entities_per_text", f"""WITH {X.PAIR}, s AS (SELECT text, count(DISTINCT entity) AS n FROM pair GROUP BY 1)
 SELECT unique_hash, n AS entities_sharing_text FROM pair JOIN s USING (text)""")
 def per_text(spark, folder):
-    return D.entities_per_text(X.pairs(spark, folder).select("unique_hash", "text", "entity")).select("unique_hash", "entities_sharing_text")
+    return D.entities_per_text(X.pairs(spark, folder).select("unique_hash", "text", "entity"), keep=["unique_hash"])
 
 
 @query("i15_label_share_by_sharing", f"""WITH {LABPAIR}, s AS (SELECT text, count(DISTINCT entity) > 1 AS shared FROM labpair GROUP BY 1),
 g AS (SELECT sentiment, shared FROM labpair JOIN s USING (text)) {_sql_share('shared', 'g')}""")
 def by_sharing(spark, folder):
-    g = D.entities_per_text(labelled_pairs(spark, folder)).withColumn("shared", F.col("entities_sharing_text") > 1)
+    g = D.entities_per_text(labelled_pairs(spark, folder), keep=["sentiment"]).withColumn("shared", F.col("entities_sharing_text") > 1)
     return _rounded(D.label_share(g, "shared", "sentiment", LABELS), "shared")
 
 
@@ -290,7 +292,7 @@ SELECT round(quantile_cont(w, 0.5), 6) AS median_words, round(quantile_cont(w /
 def sentence_share(spark, folder):
     s = X.pairs(spark, folder).select(
         T.word_count(M.entity_sentences(F.col("text"), F.col("entity"))).alias("w"), T.word_count("text").alias("n"))
-    s = s.select("w", F.try_divide("w", "n").alias("r"))
+    s = materialise(s.select("w", F.try_divide("w", "n").alias("r")), "sentence-share")  # read once for each median
     words = exact_quantiles(s, "w", [0.5]).select(F.round("p50", 6).alias("median_words"))
     return words.withColumn("median_share", F.round(exact_quantiles(s, "r", [0.5]).scalar(), 6))
 

@@ -170,10 +170,13 @@ ENTITY = "entity AS (SELECT * FROM (VALUES {}) AS t(num, entity, name, target_al
     for i, n in enumerate(NAMES)))
 
 
-def pairs(spark: SparkSession, folder: str) -> DataFrame:
+def pairs(spark: SparkSession, folder: str, docs: DataFrame | None = None) -> DataFrame:
     """(document, entity) pairs: every mentioned name, a misspelt pair for every document that names the entity of
-    the misspelling, and for a document that names none the entity its id selects. Keeps the prepared columns."""
-    docs = prepare_documents(documents(spark, folder).select("doc_id", "text"), lexicon(spark))
+    the misspelling, and for a document that names none the entity its id selects. Keeps the prepared columns.
+
+    `docs` are the documents a query is about, with what it knows of them: its pairs alone are made, and what is known goes with them."""
+    docs = documents(spark, folder).select("doc_id", "text") if docs is None else docs
+    docs = prepare_documents(docs, lexicon(spark))
     docs = docs.withColumn("named", mentioned_entities(F.col("candidates"), F.col("clean")))
     spelled = F.create_map(*[F.lit(x) for pair in zip(NAMES, ENTITIES) for x in pair])
     named = F.transform("named", lambda e: F.element_at(spelled, e["name"]))

@@ -128,7 +128,7 @@ SELECT unique_hash, CAST({X.sql_word_count('text')} AS BIGINT) AS word_count, CA
 CAST({PC.SQL_LITERAL_COUNT} AS BIGINT) AS mention_count, CAST({PC.SQL_FIRST_WORD} AS BIGINT) AS first_mention_word,
 CAST(n AS BIGINT) AS entities_sharing_text, {PC.SQL_ENTITY_SENTENCES} AS entity_sentences FROM pair JOIN shared USING (text)""")
 def statistics(spark, folder):
-    stats = text_statistics(X.pairs(spark, folder).select("unique_hash", "text", "entity"))
+    stats = text_statistics(X.pairs(spark, folder).select("unique_hash", "text", "entity"), keep=["unique_hash"])
     counts = ["word_count", "char_count", "mention_count", "first_mention_word", "entities_sharing_text"]
     return stats.select("unique_hash", *[F.col(c).cast("long") for c in counts], "entity_sentences")
 
