@@ -8,6 +8,7 @@ from entlens.config import LABELS
 from entlens.operators.describe import text_key
 from entlens.operators.folds import seeded_sample
 from entlens.operators.ranking import running_total
+from entlens.session import materialise
 
 CLASSES = (0, 1, 2)
 
@@ -156,13 +157,18 @@ def slice_labels(shared: Column) -> dict[str, Column]:
     }
 
 
-def with_slices(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Add `slices`: one (dimension, slice) per dimension. Whether a text repeats is counted on its digest."""
-    keyed = df.withColumn("_key", text_key(text_col))
+SLICED = ("char_count", "first_mention_pos", "mention_count", "n_other_drugs", "match_type")
+
+
+def with_slices(df: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Add `slices`, one (dimension, slice) per dimension, to the columns `keep` (all, if not given). Whether a text repeats is counted on its
+    digest; both that and the slices read one table of digests and of what is sliced, so the rows are made once."""
+    kept = list(keep or df.columns)
+    keyed = materialise(df.select(*dict.fromkeys([*kept, *SLICED]), text_key(text_col).alias("_key")), "slice-keys")
     copies = keyed.groupBy("_key").agg((F.count("*") > 1).alias("_shared"))
     labels = slice_labels(F.col("_shared"))
     return keyed.join(copies, "_key").withColumn("slices", F.array(*[
-        F.struct(F.lit(d).alias("dimension"), v.alias("slice")) for d, v in labels.items()])).drop("_key", "_shared")
+        F.struct(F.lit(d).alias("dimension"), v.alias("slice")) for d, v in labels.items()])).select(*kept, "slices")
 
 
 def slice_scores(df: DataFrame) -> DataFrame:
