@@ -99,7 +99,7 @@ class Lexicon:
         found = F.array().cast(CANDIDATE)
         if self.rows:
             found = F.array_compact(F.array(*[
-                F.when(reduce(lambda a, b: a & b, [low.contains(run) for run in scanned_for(row["name"])]),
+                F.when(reduce(lambda a, b: a & b, [*[low.contains(run) for run in scanned_for(row["name"])], low.rlike(whole_runs(row["name"]))]),
                        F.struct(F.lit(row["name"]).alias("name"), F.lit(row["canonical"]).alias("canonical")))
                 for row in self.rows]))
         return F.sort_array(found)
@@ -140,6 +140,12 @@ def scanned_for(name: str) -> list[str]:
     return re.findall("[a-z0-9]+", name) or [name.split(" ")[0]]
 
 
+def whole_runs(name: str) -> str:
+    """The runs of a name in order, none inside a longer run; asked only of texts that hold them all."""
+    runs = re.findall("[a-z0-9]+", name)
+    return "(?<![a-z0-9])" + "[^a-z0-9]*".join(runs) + "(?![a-z0-9])" if runs else ""
+
+
 def first_part(name: Column) -> Column:
     return F.split(name, " ")[0]
 
