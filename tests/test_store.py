@@ -216,3 +216,34 @@ def test_gram_products_move_as_blocks(spark, monkeypatch):
     df = spark.createDataFrame(rows, "indices array<int>, values array<double>").repartition(3)
     basis = rng.normal(size=(37, 4))
     assert np.allclose(V.SvdModel._gram_times(df, basis), dense.T @ (dense @ basis))
+
+
+def test_rows_do_not_move_for_singular_vectors(spark, monkeypatch):
+    moved = []
+    plain = svd.materialise
+    monkeypatch.setattr(svd, "materialise", lambda df, label, **more: moved.append((label, plain(df, label, **more))) or moved[-1][1])
+    monkeypatch.setattr(svd, "release", lambda *tables: None, raising=False)
+    rng = np.random.default_rng(12)
+    dense = rng.normal(size=(50, 33)) * (rng.random((50, 33)) < 0.4)
+    rows = [([int(j) for j in np.flatnonzero(r)], [float(r[j]) for j in np.flatnonzero(r)]) for r in dense]
+    sizes, found = [], []
+    for times in (1, 6):
+        moved.clear()
+        df = spark.createDataFrame(rows * times, "indices array<int>, values array<double>").repartition(3)
+        found.append(svd.leading_vectors(df, 33, 4, passes=3, rows=8, cols=10)[1])
+        tables = [t for _, t in moved if {"data", "vals"} & set(t.columns)]
+        sizes.append(sum(t.agg(F.sum(F.length("data" if "data" in t.columns else "vals"))).first()[0] for t in tables))
+    assert sizes[0] == sizes[1] and np.allclose(found[1], found[0] * np.sqrt(6))
+
+
+def test_groups_of_singular_vectors_give_the_same(spark):
+    rng = np.random.default_rng(13)
+    dense = rng.normal(size=(40, 27)) * (rng.random((40, 27)) < 0.4)
+    rows = [([int(j) for j in np.flatnonzero(r)], [float(r[j]) for j in np.flatnonzero(r)]) for r in dense]
+    df = spark.createDataFrame(rows, "indices array<int>, values array<double>").repartition(3)
+    one, some = (svd.leading_vectors(df, 27, 5, passes=8, cols=10, group_bytes=b) for b in (1 << 20, 8 * 30 * 4))
+    assert np.allclose(one[1], some[1])
+    named = df.select(F.struct("indices", "values").alias("t"))
+    for made in (one, some):
+        norms = [np.linalg.norm(r.p) for r in svd.project(named, "t", "p", made[0], 5, cols=10, group_bytes=8 * 30 * 2).collect()]
+        assert len(norms) == 40 and np.isclose(np.sum(np.square(norms)), np.sum(made[1] ** 2), rtol=1e-3)
