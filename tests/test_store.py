@@ -247,3 +247,48 @@ def test_groups_of_singular_vectors_give_the_same(spark):
     for made in (one, some):
         norms = [np.linalg.norm(r.p) for r in svd.project(named, "t", "p", made[0], 5, cols=10, group_bytes=8 * 30 * 2).collect()]
         assert len(norms) == 40 and np.isclose(np.sum(np.square(norms)), np.sum(made[1] ** 2), rtol=1e-3)
+
+
+def test_large_fold_tables_stand_one_at_a_time(frame, store, monkeypatch):
+    import os
+    from entlens import session
+    from entlens.operators import crossval, store as ST
+    config = replace(CONFIG, model="ComplementNB", representation="counts", params={"alpha": 0.3})
+    whole = {(r.unique_hash, r.predicted) for r in CV.cross_validate(store, config).collect()}
+    alone = FoldStore(frame, CONFIG)
+    monkeypatch.setattr(ST, "FILL_BYTES", 0, raising=False)
+    before, most, plain = set(os.listdir(session.shared_folder(frame.sparkSession))), [], crossval.predict
+
+    def counted(*args):
+        most.append(sum(f.split("-")[1] == "features" for f in set(os.listdir(session.shared_folder(frame.sparkSession))) - before if f.startswith("fold")))
+        return plain(*args)
+
+    monkeypatch.setattr(crossval, "predict", counted)
+    assert {(r.unique_hash, r.predicted) for r in CV.cross_validate(alone, config).collect()} == whole and len(whole) == 75
+    assert max(most) == 1
+
+
+def test_one_against_rest_keeps_no_copy_of_the_rows(spark, store, monkeypatch):
+    from pyspark.sql import DataFrame
+    table = store.table(CONFIG, 2)
+    with monkeypatch.context() as patched:
+        for kind in (DataFrame, type(table.train)):
+            patched.setattr(kind, "persist", lambda *a, **b: pytest.fail("cached once more"))
+        model = G.fit_estimator(table.train, CONFIG)
+    assert len(model.models) == 3 and G.predict(model, table.valid, ["unique_hash"]).count() == 15
+
+
+def test_texts_are_left_behind_once_their_terms_are_numbered(store):
+    rows, _ = store.text("ctx_k0")
+    assert not {"ctx_k0", "ctx_k1", "ctx_k2", "text_clean", "full_masked"} & set(rows.columns)
+
+
+def test_model_rows_hold_what_the_models_read(spark):
+    from entlens.plans import stages as S
+    folder = "/root/testdata/sf0.001"
+    rows, labelled = S.model_frame(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
+    assert not {"text", "text_clean", "full_masked", "ctx_k1", "ctx_natural"} & set(rows.columns)
+    prepared = S._prepared(spark, folder, True, S.SHIPPED_TEXT, V.BLOCKS)
+    assert prepared.join(labelled, "doc_id", "left_anti").count() == 0 and prepared.count() == rows.count() > 0
+    wide = S.frame(spark, folder).join(labelled.select("doc_id"), "doc_id").select("unique_hash", "ctx_k0", "vader_full_mean", "mention_count")
+    assert {tuple(r) for r in rows.select(wide.columns).collect()} == {tuple(r) for r in wide.collect()}
