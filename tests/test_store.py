@@ -292,3 +292,13 @@ def test_model_rows_hold_what_the_models_read(spark):
     assert prepared.join(labelled, "doc_id", "left_anti").count() == 0 and prepared.count() == rows.count() > 0
     wide = S.frame(spark, folder).join(labelled.select("doc_id"), "doc_id").select("unique_hash", "ctx_k0", "vader_full_mean", "mention_count")
     assert {tuple(r) for r in rows.select(wide.columns).collect()} == {tuple(r) for r in wide.collect()}
+
+
+def test_scoring_prepares_what_the_model_reads(spark, monkeypatch):
+    from entlens.plans import modelling as M
+    made = []
+    plain = M.materialise
+    monkeypatch.setattr(M, "materialise", lambda df, label, **more: made.append(df.columns) or plain(df, label, **more))
+    rows = M._prepare(spark)(M._raw_pairs(spark, "/root/testdata/sf0.001").limit(20))
+    assert not {"text", "text_clean", "full_masked", "ctx_k1", "ctx_k2"} & set(made[0])
+    assert {"ctx_k0", "embedding", *V.COUNT_FEATURES, *V.SCALED_FEATURES, *V.CATEGORY_FEATURES} <= set(rows.columns) and rows.count() == 20
