@@ -302,3 +302,13 @@ def test_scoring_prepares_what_the_model_reads(spark, monkeypatch):
     rows = M._prepare(spark)(M._raw_pairs(spark, "/root/testdata/sf0.001").limit(20))
     assert not {"text", "text_clean", "full_masked", "ctx_k1", "ctx_k2"} & set(made[0])
     assert {"ctx_k0", "embedding", *V.COUNT_FEATURES, *V.SCALED_FEATURES, *V.CATEGORY_FEATURES} <= set(rows.columns) and rows.count() == 20
+
+
+def test_the_registered_search_has_no_limit_of_seconds(monkeypatch):
+    from entlens.plans import modelling as M
+    asked = []
+    monkeypatch.setattr(M.S, "fold_store", lambda *a: None)
+    monkeypatch.setattr(M, "_screened", lambda *a: None)
+    monkeypatch.setattr(M.CV, "tune_best", lambda store, screened, configs, **search: asked.append((set(configs), search)))
+    M.search(None, "")
+    assert asked == [({"LogisticRegression", "LinearSVC", "ComplementNB"}, {})]
