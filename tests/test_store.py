@@ -312,3 +312,10 @@ def test_the_registered_search_has_no_limit_of_seconds(monkeypatch):
     monkeypatch.setattr(M.CV, "tune_best", lambda store, screened, configs, **search: asked.append((set(configs), search)))
     M.search(None, "")
     assert asked == [({"LogisticRegression", "LinearSVC", "ComplementNB"}, {})]
+
+
+def test_boosted_trees_are_registered_whole():
+    from entlens.plans import modelling as M
+    made = M.config("GradientBoosting")
+    assert made.svd_components == G.SHIPPED.svd_components == 300 and made.representation == "dense"
+    assert G.boosted_trees(made.params, 1.0).getClassifier().getMaxIter() == 150
