@@ -319,3 +319,30 @@ def test_boosted_trees_are_registered_whole():
     made = M.config("GradientBoosting")
     assert made.svd_components == G.SHIPPED.svd_components == 300 and made.representation == "dense"
     assert G.boosted_trees(made.params, 1.0).getClassifier().getMaxIter() == 150
+
+
+def test_manhattan_tiles_are_small_and_their_slack_holds():
+    import tracemalloc
+
+    rng = np.random.default_rng(14)
+    for scale in (1.0, 1e-40, 1e33):
+        a, b = rng.normal(size=(37, 64)) * scale, rng.normal(size=(9_000, 64)) * scale
+        exact = np.abs(a[:, None] - b[None, :500]).sum(axis=2)
+        tracemalloc.start()
+        made, slack = K._manhattan(a, b)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert (np.abs(made[:, :500] - exact) <= slack[:, None]).all()
+        assert peak < made.nbytes + 5 * b.nbytes  # no array of queries times rows times coordinates
+
+
+def test_manhattan_neighbours_among_copies_and_large_numbers(spark):
+    points = np.random.default_rng(15).normal(size=(160, 6))
+    points[40:70] = points[40]
+    points[70:75] *= 1e33
+    points[80:100] = points[80] + np.random.default_rng(16).normal(size=(20, 6)) * 1e-9  # closer than single precision tells
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(points)], "id long, embedding array<double>")
+    got = {(r.query, r["rank"]): r.neighbour for r in K.k_nearest(df, df, 5, n_pivots=8, p=1).collect()}
+    apart = np.abs(points[:, None] - points[None]).sum(axis=2)
+    np.fill_diagonal(apart, np.inf)
+    assert got == {(i, r + 1): int(j) for i in range(160) for r, j in enumerate(np.argsort(apart[i], kind="stable")[:5])}
