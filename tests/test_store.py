@@ -346,3 +346,16 @@ def test_manhattan_neighbours_among_copies_and_large_numbers(spark):
     apart = np.abs(points[:, None] - points[None]).sum(axis=2)
     np.fill_diagonal(apart, np.inf)
     assert got == {(i, r + 1): int(j) for i in range(160) for r, j in enumerate(np.argsort(apart[i], kind="stable")[:5])}
+
+
+def test_settings_on_the_same_features_share_a_large_table(frame, monkeypatch):
+    from entlens.operators import store as ST
+    monkeypatch.setattr(ST, "FILL_BYTES", 0, raising=False)
+    monkeypatch.setattr(CV, "ABLATIONS", [v for v in CV.ABLATIONS if v[0] == "balanced" or v[1] in ("ctx_k1", CV.SHIPPED_NAME) and v[0] == "text_col"])
+    alone, made = FoldStore(frame, CONFIG), []
+    plain = V.materialise
+    monkeypatch.setattr(V, "materialise", lambda df, label, **more: made.append(label) or plain(df, label, **more))
+    rows = CV.run_ablations(alone, replace(CONFIG, model="ComplementNB", representation="counts", params={"alpha": 0.3})).collect()
+    assert [(r.group, r.variant) for r in sorted(rows)] == [("balanced", "no class weights"), ("balanced", "shipped"), ("text_col", "ctx_k1"), ("text_col", "shipped")]
+    assert all(r.delta == 0 for r in rows if r.shipped) and len({r.f1_weighted for r in rows if r.shipped}) == 1
+    assert sum(label.endswith("-features") for label in made) == 2 * 5  # a table a fold for each text
